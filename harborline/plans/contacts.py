@@ -19,7 +19,8 @@ def group_keys(attribute_map: DataFrame, group: str, hmz_object: str = "contact"
     """Attribute names of a group as a scalar array, from the lookup table.
 
     The lookup stays a scalar subquery of the job that uses it; it is never
-    brought to the driver.
+    brought to the driver. Attach it with ``withColumn`` before a higher-order
+    function refers to it.
     """
     return (
         attribute_map.where((F.col("attribute_group") == group) & (F.col("hmz_object") == hmz_object))
@@ -33,13 +34,17 @@ def text_at(attributes: str, key: str) -> Column:
     return blank_to_null(F.try_element_at(F.col(attributes), F.lit(key)))
 
 
-def vendor_contacts(raw: DataFrame, as_of: Column, group: dict[str, Column]) -> DataFrame:
+VENDOR_GROUPS = ["city", "source", "brands", "parent_flag"]
+
+
+def vendor_contacts(raw: DataFrame, as_of: Column, attribute_map: DataFrame) -> DataFrame:
     """Vendor rows ``(contact_id, document, ingested_at)`` to typed attributes.
 
-    ``group`` holds the attribute-name arrays of the groups city, source,
-    brands and parent_flag.
+    The lookup says which document keys feed the grouped attributes.
     """
     parsed = raw.where(blank_to_null(F.col("contact_id")).isNotNull()).withColumn("a", D.as_map(F.col("document")))
+    parsed = parsed.withColumns({f"_{g}": group_keys(attribute_map, g) for g in VENDOR_GROUPS})
+    group = {g: F.col(f"_{g}") for g in VENDOR_GROUPS}
     at = lambda key: text_at("a", key)
     born = birth_date(at("date_of_birth"), at("birth_day"), at("birth_month"), at("birth_year"))
     typed = parsed.select(
@@ -121,13 +126,6 @@ VENDOR_RULES = {
 WATCHED = ["gender", "first_name", "last_name", "city", "brands"]
 
 
-def empty_target(source: DataFrame, extra: dict[str, str]) -> DataFrame:
-    """An empty harmonised table fitting a change set."""
-    columns = ", ".join(f"`{n}` {t}" for n, t in extra.items())
-    typed = source.limit(0).withColumn("email", F.lit(None).cast("string"))
-    return typed.select("*", *[F.lit(None).cast(t).alias(n) for n, t in extra.items()]) if columns else typed
-
-
 def merge_contacts(target: DataFrame, source: DataFrame, now: Column) -> DataFrame:
     """Upsert survivors into the harmonised contacts."""
     return M.merge_upsert(

@@ -23,7 +23,7 @@ def f01(t):
 @query(
     "f02_title_words",
     """SELECT p_partkey, upper(p_type) AS shout,
-         array_to_string(list_transform(string_split(p_name, ' '), w -> upper(w[1]) || w[2:]), '-') || '#' || upper(p_type[1]) || lower(p_type[2:]) AS title FROM part""",
+         array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), '-') || '#' || upper(p_type[1]) || lower(p_type[2:]) AS title FROM part""",
 )
 def f02(t):
     phrase = F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("#"), "p_type")

@@ -86,7 +86,7 @@ def listed_values(attributes: Column, keys: Column, allowed: Column | None = Non
                 F.transform(keys, lambda k: F.try_element_at(attributes, k)),
                 lambda v: v.isNotNull(),
             ),
-            lambda v: F.transform(F.split(v, "[,;]"), F.trim),
+            lambda v: F.transform(F.split(v, "[,;]"), lambda v: F.trim(v)),
         )
     )
     kept = F.filter(F.array_distinct(values), lambda v: v != "")
@@ -114,7 +114,7 @@ def brand_values(attributes: Column, keys: Column, category_of: Column) -> Colum
 def translate_list(attributes: Column, key: str, names: Column) -> Column:
     """Replace ids by names inside one list-valued attribute."""
     def rename(value: Column) -> Column:
-        ids = F.transform(F.split(value, "[,;]"), F.trim)
+        ids = F.transform(F.split(value, "[,;]"), lambda v: F.trim(v))
         return F.array_join(
             F.transform(ids, lambda i: F.coalesce(F.try_element_at(names, i), i)), ","
         )
@@ -176,7 +176,7 @@ def first_non_null(documents: Column) -> Column:
 
 def union_lists(*lists: Column) -> Column:
     """Set union of comma lists, first occurrence keeps its place."""
-    items = F.transform(F.split(F.concat_ws(",", *lists), ","), F.trim)
+    items = F.transform(F.split(F.concat_ws(",", *lists), ","), lambda v: F.trim(v))
     kept = F.array_distinct(F.filter(items, lambda v: v != ""))
     return F.when(F.size(kept) > 0, F.array_join(kept, ","))
 

@@ -199,7 +199,7 @@ def u13(t):
     "u14_listed_values",
     f"""WITH {S.CONTACT_ROWS}
         SELECT row_id, CASE WHEN brands IS NULL THEN gr_source ELSE brands || ',' || gr_source END AS everything,
-               CASE WHEN brands LIKE '%F%' THEN 'F' END AS allowed FROM contact_rows""",
+               CASE WHEN brands LIKE '%,F' THEN 'F' END AS allowed FROM contact_rows""",
 )
 def u14(t):
     keys = _keys("brands", "gr_source")

@@ -55,7 +55,7 @@ def standardise(raw: DataFrame, spec: FileSpec) -> DataFrame:
 
 def classify(df: DataFrame, spec: FileSpec, by_phone: DataFrame, by_email: DataFrame, spread_by: list[str]) -> DataFrame:
     """Identity, outcome and reason for every row, schema errors included."""
-    internal = [*spec.expected, "normalized_phone", "normalized_email", "phone_hashed", "email_hashed", spec.consent_time, "file_name", *spread_by]
+    internal = [*spec.expected, "normalized_phone", "normalized_email", "phone_hashed", "email_hashed", spec.consent_time, "file_name", *spec.static, *spread_by]
     routed = C.route_unexpected(df, internal) if spec.reject_unexpected else df.withColumn("unexpected", F.array().cast("array<string>"))
     identified = attach_identity(routed, by_phone, by_email, spread_by, "normalized_phone", "normalized_email")
     sorted_out = triage(identified, "normalized_phone", "normalized_email")

@@ -75,11 +75,10 @@ TABLES: dict[str, Table] = {
 
 def bytes_to_decimal(raw: Column, scale: int = 2) -> Column:
     """Big-endian two's-complement bytes to a decimal (up to eight bytes)."""
-    width = F.octet_length(raw)
-    unsigned = F.conv(F.hex(raw), 16, 10).cast("decimal(20,0)")
-    negative = F.conv(F.substring(F.hex(raw), 1, 1), 16, 10).cast("int") >= 8
-    modulus = F.pow(F.lit(2.0), width * 8).cast("decimal(20,0)")
-    signed = F.when(negative, unsigned - modulus).otherwise(unsigned)
+    digits = F.hex(raw)
+    negative = F.conv(F.substring(digits, 1, 1), 16, 10).cast("int") >= 8
+    extended = F.lpad(digits, 16, F.when(negative, "F").otherwise("0"))
+    signed = F.conv(extended, 16, -10).cast("decimal(20,0)")
     return (signed / F.lit(10**scale)).cast(f"decimal(18,{scale})")
 
 

@@ -358,7 +358,7 @@ _ATTRIBUTES = """
 attributes AS (
   SELECT l.contact_id, l.bot_id, l.sender_id, l.template_id, CASE WHEN strpos(l.template_id, '_') > 0 THEN substr(l.template_id, strpos(l.template_id, '_') + 1) ELSE l.template_id END AS campaign_name,
          l.sent_at, l.delivered_at, l.read_at, l.replied_at, l.clicked_at, l.phone, b.brand_name, m.brand_metrics, u.opt_out_brands
-  FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY contact_id ORDER BY ingested_at DESC, sent_at DESC, message_id DESC, report_id DESC, bot_id DESC, sender_id DESC, part_id DESC) AS rn FROM message_report) WHERE rn = 1) l
+  FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY contact_id ORDER BY ingested_at DESC, sent_at DESC, message_id DESC, report_id DESC, bot_id DESC, sender_id DESC, template_id DESC) AS rn FROM message_report) WHERE rn = 1) l
   LEFT JOIN (SELECT bot_id, min(brand_name) AS brand_name FROM senders GROUP BY 1) b ON b.bot_id = l.bot_id
   LEFT JOIN brand_metrics m ON m.contact_id = l.contact_id
   LEFT JOIN (SELECT contact_id, '{"optOut_brands": [' || string_agg(DISTINCT '"' || brand_name || '"', ', ' ORDER BY '"' || brand_name || '"') || ']}' AS opt_out_brands
@@ -396,7 +396,7 @@ def c13_merge(t):
 
 _NOTIFIED = """
 notified AS (SELECT contact_id, report_id, message_id, status, brand_name, phone, CASE WHEN strpos(template_id, '_') > 0 THEN substr(template_id, strpos(template_id, '_') + 1) ELSE name END AS campaign_name FROM (
-  SELECT r.*, b.brand_name, row_number() OVER (PARTITION BY contact_id, report_id, message_id ORDER BY ingested_at DESC, status DESC, r.bot_id DESC, sender_id DESC) AS rn
+  SELECT r.*, b.brand_name, row_number() OVER (PARTITION BY contact_id, report_id, message_id ORDER BY ingested_at DESC, status DESC, r.bot_id DESC, sender_id DESC, template_id DESC) AS rn
   FROM message_report r LEFT JOIN (SELECT bot_id, min(brand_name) AS brand_name FROM senders GROUP BY 1) b ON b.bot_id = r.bot_id) WHERE rn = 1)
 """
 

@@ -438,12 +438,11 @@ def crm_raw(t):
 
 @query(
     "c11_crm_ids",
-    """SELECT CAST(o_custkey AS VARCHAR) AS contact_id, 'c' || o_orderpriority || '@example.org' AS address, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY CAST(o_orderkey AS VARCHAR)) AS ids
-       FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2""",
+    """SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS contact_id, 'c' || o_orderpriority || '@example.org' AS email, CAST(o_orderkey AS VARCHAR) AS object_id
+       FROM orders WHERE o_orderstatus <> 'P'""",
 )
 def c11_ids(t):
-    ids = contacts.crm_ids(contacts.crm_contacts(crm_raw(t)))
-    return ids.select("contact_id", F.explode("crm_ids").alias("address", "l")).select("contact_id", "address", F.array_join("l", ",").alias("ids"))
+    return contacts.crm_id_pairs(contacts.crm_contacts(crm_raw(t)))
 
 
 @query(

@@ -123,36 +123,41 @@ def p14(t):
 
 
 def telemetry(t):
-    """Order lines as flight reports, one JSON batch per order.
+    """Order lines as flight reports, one JSON batch per line.
 
-    Ship date against order date is the delay, in minutes; supplier and part
-    numbers place the aircraft. Batches are as large as one order.
+    Every flight is reported on its way, and again in the same batch once it
+    has landed. Ship date against order date is the delay, in minutes;
+    supplier and part numbers place the aircraft.
     """
     lines = t.lineitem.join(t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey"))
     stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
     minute = F.datediff(F.col("l_shipdate"), F.col("o_orderdate"))
     arrival = F.timestamp_add("MINUTE", minute.cast("long"), F.col("o_orderdate"))
-    flight = F.struct(
-        stamp(F.col("o_orderdate")).alias("actual_departure_time"),
-        F.when(F.col("l_returnflag") != "N", stamp(arrival)).alias("actual_arrival_time"),
-        F.concat(F.lit("air"), F.col("l_suppkey").cast("string")).alias("airline"),
-        F.struct((F.col("l_suppkey") % 90).cast("double").alias("latitude"), (F.col("l_partkey") % 180).cast("double").alias("longitude")).alias("current_location"),
-        (F.col("l_quantity") - 25).alias("dest_lat"), (F.col("l_discount") * 100).alias("dest_lon"),
-        F.col("l_extendedprice").alias("distance_travelled_km"),
-        F.when(F.col("l_linestatus") == "F", "Landed").otherwise("Flying").alias("flight_status"),
-        F.col("l_orderkey").cast("int").alias("flight_id"),
-        stamp(F.col("o_orderdate")).alias("scheduled_arrival_time"), stamp(F.col("o_orderdate")).alias("scheduled_departure_time"),
-    )
-    return lines.groupBy("l_orderkey").agg(F.collect_list(flight).alias("flights")).select(F.to_json(F.struct("flights")).alias("data"))
+
+    def report(status):
+        return F.struct(
+            stamp(F.col("o_orderdate")).alias("actual_departure_time"),
+            F.when(F.col("l_returnflag") != "N", stamp(arrival)).alias("actual_arrival_time"),
+            F.concat(F.lit("air"), F.col("l_suppkey").cast("string")).alias("airline"),
+            F.struct((F.col("l_suppkey") % 90).cast("double").alias("latitude"), (F.col("l_partkey") % 180).cast("double").alias("longitude")).alias("current_location"),
+            (F.col("l_quantity") - 25).alias("dest_lat"), (F.col("l_discount") * 100).alias("dest_lon"),
+            F.col("l_extendedprice").alias("distance_travelled_km"),
+            F.lit(status).alias("flight_status"),
+            F.col("l_orderkey").cast("int").alias("flight_id"),
+            stamp(F.col("o_orderdate")).alias("scheduled_arrival_time"), stamp(F.col("o_orderdate")).alias("scheduled_departure_time"),
+        )
+
+    reports = F.array_compact(F.array(report("Flying"), F.when(F.col("l_linestatus") == "F", report("Landed"))))
+    return lines.select(F.to_json(F.struct(reports.alias("flights"))).alias("data"))
 
 
 TELEMETRY = """
 telemetry AS (
-  SELECT CAST(l_orderkey AS INTEGER) AS flight_id, 'air' || l_suppkey AS airline, CASE WHEN l_linestatus = 'F' THEN 'Landed' ELSE 'Flying' END AS flight_status,
+  SELECT CAST(l_orderkey AS INTEGER) AS flight_id, 'air' || l_suppkey AS airline, s.flight_status,
          CAST(l_suppkey % 90 AS DOUBLE) AS latitude, CAST(l_partkey % 180 AS DOUBLE) AS longitude, l_quantity - 25 AS dest_lat, l_discount * 100 AS dest_lon,
          l_extendedprice AS distance_travelled_km, o_orderdate AS scheduled,
          CASE WHEN l_returnflag <> 'N' THEN o_orderdate + to_minutes(date_diff('day', o_orderdate, l_shipdate)) END AS arrival
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN (VALUES ('F', 'Landed'), ('F', 'Flying'), ('O', 'Flying')) s(l, flight_status) ON s.l = l_linestatus)
 """
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from harborline.catalog.registry import Tables
 
 CUTOFF = "1999-01-01"  # separates the stored snapshot from the new batch
-DAY = "1998-06-15"  # the day of single-day jobs
+DAY = "1998-08-21"  # the day of single-day jobs
 
 
 def money(value: str | Column) -> Column:

@@ -168,13 +168,17 @@ def s10(t):
     return files.read_json(t.spark, path, "event_id long, user_id long, event_type string, value double")
 
 
-@query("s10_json_documents", "SELECT o_custkey, o_orderkey FROM orders")
-def s10_documents(t):
+@query(
+    "s10_json_arrays",
+    "SELECT o_orderkey, o_custkey FROM orders UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderstatus = 'F'",
+)
+def s10_arrays(t):
     path = work_path(t.spark, "orders-json")
-    arrays = t.orders.groupBy("o_custkey").agg(F.to_json(F.collect_list(F.struct("o_custkey", "o_orderkey"))).alias("value"))
-    arrays.select("value").write.text(path)
-    lines = t.spark.read.text(path).select(F.from_json("value", "array<struct<o_custkey:long,o_orderkey:long>>").alias("l"))
-    return lines.select(F.inline("l"))
+    key = F.col("o_orderkey")
+    order = F.struct(key.alias("o_orderkey"), F.col("o_custkey").alias("o_custkey"))
+    second = F.when(F.col("o_orderstatus") == "F", F.struct(key.alias("o_orderkey"), F.lit(None).cast("long").alias("o_custkey")))
+    t.orders.select(F.to_json(F.array_compact(F.array(order, second))).alias("value")).write.text(path)
+    return files.read_json(t.spark, path, "o_orderkey long, o_custkey long")
 
 
 @query("s11_seed_landing", "SELECT c_custkey, c_name, c_acctbal FROM customer")

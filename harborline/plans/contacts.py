@@ -152,14 +152,19 @@ def crm_contacts(raw: DataFrame) -> DataFrame:
     )
 
 
+def crm_id_pairs(contacts: DataFrame) -> DataFrame:
+    """Distinct (contact, address, CRM id) rows: the ids in long form."""
+    return contacts.where(F.col("email").isNotNull()).select("contact_id", "email", "object_id").distinct()
+
+
 def crm_ids(contacts: DataFrame) -> DataFrame:
-    """Per contact a map from address to its distinct CRM ids."""
-    ids = (
-        contacts.where(F.col("email").isNotNull())
-        .select("contact_id", "email", "object_id")
-        .distinct()
-        .groupBy("contact_id", "email")
-        .agg(F.array_sort(F.collect_list("object_id")).alias("ids"))
+    """Per contact a map from address to its distinct CRM ids.
+
+    The map of a contact is one value; where an address may carry any number
+    of ids, work with :func:`crm_id_pairs` instead.
+    """
+    ids = crm_id_pairs(contacts).groupBy("contact_id", "email").agg(
+        F.array_sort(F.collect_list("object_id")).alias("ids")
     )
     return ids.groupBy("contact_id").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("email", "ids")))).alias("crm_ids")

@@ -12,11 +12,14 @@ from harborline.operators.aggregates import count_or_status, recent_or_all
 from harborline.operators.latest import latest_by_key, two_stage_dedup
 
 CLICK_STATUS = "URL_CLICKED"  # fixed value
+# newest first; the identifiers only break ties, so that reruns agree
+SENDER_ORDER = ["ingested_at", "sent_at", "message_id", "report_id", "bot_id", "sender_id", "template_id"]
+NOTIFICATION_ORDER = ["ingested_at", "status", "bot_id", "sender_id", "template_id"]
 
 
 def latest_sender(report: DataFrame, recent: Column) -> DataFrame:
     """The newest message per contact among the recent ones (or all)."""
-    return latest_by_key(recent_or_all(report, recent), ["contact_id"], ["ingested_at", "sent_at", "message_id"])
+    return latest_by_key(recent_or_all(report, recent), ["contact_id"], SENDER_ORDER)
 
 
 def brand_counts(report: DataFrame, senders: DataFrame) -> DataFrame:
@@ -104,7 +107,7 @@ def notifications(report: DataFrame, senders: DataFrame, recent: Column) -> Data
     named = recent_or_all(report, recent).where(F.col("contact_id").isNotNull()).join(brands, "bot_id", "left").withColumn(
         "campaign_name", campaign_name(F.col("template_id"), F.col("name"))
     )
-    return two_stage_dedup(named, NOTIFICATION_KEYS, ["ingested_at", "status"])
+    return two_stage_dedup(named, NOTIFICATION_KEYS, NOTIFICATION_ORDER)
 
 
 def merge_notifications(target: DataFrame, source: DataFrame, now: Column) -> DataFrame:

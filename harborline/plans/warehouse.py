@@ -103,14 +103,21 @@ def fact_order_detail_history(items: DataFrame, products: DataFrame, categories:
 
 
 def daily_transaction(fact: DataFrame, detail: DataFrame, categories: DataFrame, day: str | None = None) -> DataFrame:
-    """Orders, users, items and revenue per day, status, method, category, place."""
+    """Orders, users, items and revenue per day, status, method, category, place.
+
+    Items are summed per order and category before the join, so the join and
+    the distinct counts handle orders rather than items.
+    """
     if day:
         fact = fact.where(F.col("date_key") == F.lit(day).cast("date"))
     names = categories.select("category_key", F.col("name").alias("category"))
     completed = F.col("order_status") == "completed"
+    per_category = detail.groupBy("order_id", "category_key").agg(
+        F.sum("quantity").alias("quantity"), F.sum("price_amount").alias("price_amount")
+    )
     return (
         fact.select("order_id", "user_key", "date_key", "order_status", "payment_method", "country", "city")
-        .join(detail.select("order_id", "category_key", "quantity", "price_amount"), "order_id", "left")
+        .join(per_category, "order_id", "left")
         .join(names, "category_key", "left")
         .groupBy("date_key", "order_status", "payment_method", "category", "country", "city")
         .agg(

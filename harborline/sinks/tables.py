@@ -60,9 +60,14 @@ def landing_columns(arrival: Column) -> dict[str, Column]:
 
 
 def land(df: DataFrame, path: str, arrival: str) -> None:
-    """Append raw rows below ``year/month/day/hour``."""
+    """Append raw rows below ``year/month/day/hour``.
+
+    Rows are brought together per hour first: otherwise every task would write
+    its own small file into every folder.
+    """
     columns = landing_columns(F.col(arrival))
-    df.withColumns(columns).write.mode("append").partitionBy(*columns).parquet(path)
+    shaped = df.withColumns(columns).hint("rebalance", *[F.col(c) for c in columns])
+    shaped.write.mode("append").partitionBy(*columns).parquet(path)
 
 
 def csv_to_parquet(spark: SparkSession, source: str, target: str, schema: str, timestamp_format: str) -> None:

@@ -307,7 +307,7 @@ def _survivors(t, late: bool):
     mark = F.lit(S.CUTOFF).cast("timestamp_ntz")
     rows = S.contact_rows(t).where(F.col("ingested_at") >= mark if late else F.col("ingested_at") < mark)
     parsed = contacts.vendor_contacts(rows, F.lit("2002-01-01").cast("date"), S.attribute_map(t))
-    return contacts.survivors(parsed)
+    return contacts.survivors(materialise(parsed, work_path(t.spark, "parsed-contacts")))
 
 
 _PICKED = ["contact_id", "email", "first_name", "city", "brands", "parent_flag", "gr_source", "first_seen", "phone_hashed"]

@@ -11,6 +11,7 @@ from harborline.catalog.registry import query
 from harborline.functions import dates
 from harborline.functions import documents as D
 from harborline.operators.latest import latest_values, merged_documents
+from harborline.operators.once import once
 from harborline.operators.scoring import score_rows
 from harborline.plans import contacts
 
@@ -22,7 +23,7 @@ def _keys(*names: str) -> Column:
 
 
 def _attributes(t):
-    return S.contact_rows(t).withColumn("a", D.as_map(F.col("document")))
+    return once(S.contact_rows(t), {"a": D.as_map(F.col("document"))})
 
 
 _ADDRESSES = f"""

@@ -6,35 +6,38 @@ gives the same answer when it is run again.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted text layouts, tried in this order.
+# Accepted text layouts, tried in this order. Single letters
+# accept one or two digits.
 TIMESTAMP_LAYOUTS = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy HH:mm",
-    "dd/MM/yyyy",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy",
-    "dd-MM-yyyy HH:mm:ss",
-    "dd-MM-yyyy HH:mm",
-    "dd-MM-yyyy",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd HH:mm",
-    "yyyy/MM/dd",
+    "yyyy-M-d H:m:s",
+    "yyyy-M-d H:m",
+    "yyyy-M-d",
+    "d/M/yyyy H:m:s",
+    "d/M/yyyy H:m",
+    "d/M/yyyy",
+    "M/d/yyyy H:m:s",
+    "M/d/yyyy H:m",
+    "M/d/yyyy",
+    "d-M-yyyy H:m:s",
+    "d-M-yyyy H:m",
+    "d-M-yyyy",
+    "yyyy/M/d H:m:s",
+    "yyyy/M/d H:m",
+    "yyyy/M/d",
 ]
 # Layouts the engagement-file check accepts.
 CHECKED_LAYOUTS = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy",
-    "yyyy-MM-dd",
+    "yyyy-M-d H:m:s",
+    "yyyy-M-d'T'H:m:s",
+    "yyyy-M-d'T'H:m:s.[SSSSSS][SSSSS][SSSS][SSS][SS][S]",
+    "M/d/yyyy H:m:s",
+    "M/d/yyyy",
+    "yyyy-M-d",
 ]
 # Numeric ranges and epochs of spreadsheet and unix times.
 SPREADSHEET_EPOCH = "1899-12-30"
@@ -117,10 +120,22 @@ def birth_date(full: Column, day: Column, month: Column, year: Column) -> Column
     )
 
 
+def _shape(layout: str) -> str:
+    """Regular expression of the texts a layout can read at all."""
+    plain = re.sub(r"\[.*\]", "S", layout.replace("'", ""))
+    digits = {"yyyy": r"\d{4}", "S": r"\d{1,6}", **dict.fromkeys("MdHms", r"\d{1,2}")}
+    return "^" + "".join(digits.get(p, re.escape(p)) for p in re.findall("yyyy|.", plain)) + "$"
+
+
 def first_layout(text: Column, layouts: list[str]) -> Column:
-    """Timestamp by the first layout that fits, else null."""
+    """Timestamp by the first layout that fits, else null.
+
+    Each layout is only tried on texts of its shape, since a failing parse
+    costs far more than a pattern test.
+    """
     attempts = [
-        F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz") for layout in layouts
+        F.when(text.rlike(_shape(layout)), F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz"))
+        for layout in layouts
     ]
     return F.coalesce(*attempts)
 

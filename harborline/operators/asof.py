@@ -1,11 +1,11 @@
 """As-of joins: the version of a dimension that was valid at a point in time.
 
-A plain equi-join with a range condition compares every fact with every version
-of its key, which is quadratic for a key with many facts *and* many versions.
-Two other ways are used here:
+An equi-join with a range condition compares every fact with every version of
+its key, which is quadratic for a key with many facts *and* many versions. So
+there are two ways:
 
-* ``version_at`` for day-grained dimensions packs the versions of a key, of
-  which there are at most one per day, and joins N:1.
+* ``version_at`` for day-grained dimensions: there is at most one version per
+  key and day, so the range condition inside the equi-join stays cheap.
 * ``asof_join`` for event times, where a key may have any number of rows on
   both sides, lays facts and versions on one time line per (key, time bucket);
   each fact takes the last version before it. Only one short summary row per
@@ -84,24 +84,6 @@ def asof_join(
     return matched.select("_left.*", *[F.col(f"_match.{v}").alias(v) for v in values])
 
 
-def packed_versions(dim: DataFrame, key: str, values: list[str]) -> DataFrame:
-    """One row per key: its versions by month, months and versions in order.
-
-    A key has at most one version per day, so the array is bounded by the age
-    of the dimension. Grouping by month keeps a lookup short: find the month,
-    then the version in it.
-    """
-    version = F.struct("start_date", "end_date", "is_current", *values)
-    months = dim.groupBy(key, F.trunc("start_date", "month").alias("_month")).agg(
-        F.array_sort(F.collect_list(version)).alias("versions")
-    )
-    return months.groupBy(key).agg(
-        F.array_sort(
-            F.collect_list(F.struct(F.col("versions")[0]["start_date"].alias("first"), "versions"))
-        ).alias("_months")
-    )
-
-
 def version_at(
     facts: DataFrame,
     dim: DataFrame,
@@ -112,26 +94,21 @@ def version_at(
 ) -> DataFrame:
     """Look up the dimension version valid at ``facts[at]`` (closed-open).
 
-    Versions of a key do not overlap (see ``scd.collapse_versions``), so the
-    last one that started on or before the date is the only candidate; it
-    counts if it has not ended by then or is still current.
-
-    The dimension is packed to one row per key, which makes this an N:1
-    equi-join: facts are read and moved once, a small dimension is broadcast
-    by the engine (after its own size check), and a frequent key can be split
-    at run time because it has a single row on the other side.
+    An equi-join on the key with the validity range as join condition. A key
+    has at most one version per day, so a fact is compared with a bounded
+    number of versions and only the valid one leaves the join. A small
+    dimension is broadcast by the engine after its own size check; otherwise
+    the facts of a frequent key are split at run time, each part meeting the
+    same few versions. For versions at a finer grain use :func:`asof_join`.
     """
-    day = F.col(at).cast("date")
-    joined = facts.join(packed_versions(dim, key, values), key, "left")
-    month = F.try_element_at(F.filter("_months", lambda m: m["first"] <= day), F.lit(-1))
-    version = F.try_element_at(F.filter(month["versions"], lambda v: v["start_date"] <= day), F.lit(-1))
-    found = joined.select(*facts.columns, version.alias("_version"))
-    valid = F.coalesce(
-        (F.col("_version.end_date") > day) | (F.col("_version.is_current") == 1), F.lit(False)
+    day = F.col(f"f.{at}").cast("date")
+    valid = (
+        (F.col(f"f.{key}") == F.col(f"d.{key}"))
+        & (F.col("d.start_date") <= day)
+        & ((F.col("d.end_date") > day) | (F.col("d.is_current") == 1))
     )
-    if not keep_unmatched:
-        found = found.where(valid)
-    return found.select(*facts.columns, *[F.when(valid, F.col(f"_version.{v}")).alias(v) for v in values])
+    joined = facts.alias("f").join(dim.alias("d"), valid, "left" if keep_unmatched else "inner")
+    return joined.select(*[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"d.{v}") for v in values])
 
 
 def versions_on(dim: DataFrame, day: Column) -> DataFrame:

@@ -16,19 +16,29 @@ def _order_struct(order: list[Column]) -> Column:
     return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
 
 
+def _sortable(df: DataFrame) -> bool:
+    return not any(w in f.dataType.simpleString() for f in df.schema.fields for w in ("map<", "variant"))
+
+
 def latest_by_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """One row per key: the one with the greatest ``order``.
 
-    ``order`` lists expressions from most to least significant; give enough of
-    them to make the choice unique. Use a negated expression for "smallest
-    first" tie-breakers.
+    ``order`` lists expressions from most to least significant; use a negated
+    expression for "smallest first". Rows that tie on all of them are told
+    apart by their other columns, so that a rerun gives the same rows.
     """
-    columns = [F.col(c) if isinstance(c, str) else c for c in order]
     others = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*others), _order_struct(columns)).alias("_row")
-    )
-    return picked.select(*keys, "_row.*").select(*df.columns)
+    if not _sortable(df):
+        picked = df.groupBy(*keys).agg(
+            F.max_by(F.struct(*others), _order_struct([F.col(c) if isinstance(c, str) else c for c in order])).alias("_row")
+        )
+        return picked.select(*keys, "_row.*").select(*df.columns)
+    # one struct that is both the rank and the row: nothing is shuffled twice
+    ranks = [(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order)]
+    place = {c: f"_o{i}" for i, c in enumerate(order) if isinstance(c, str)}
+    rest = [c for c in others if c not in place]
+    picked = df.groupBy(*keys).agg(F.max(F.struct(*ranks, *rest)).alias("_row"))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{place.get(c, c)}").alias(c) for c in df.columns])
 
 
 def latest_values(

@@ -11,6 +11,7 @@ from harborline.functions.security import hashed_identifier
 from harborline.functions.text import blank_to_null
 from harborline.operators import merge as M
 from harborline.operators.latest import latest_by_key, latest_values, merged_documents
+from harborline.operators.once import once
 
 ADULT_RANGE = (18, 100)  # fixed values
 
@@ -42,12 +43,16 @@ def vendor_contacts(raw: DataFrame, as_of: Column, attribute_map: DataFrame) ->
 
     The lookup says which document keys feed the grouped attributes.
     """
-    parsed = raw.where(blank_to_null(F.col("contact_id")).isNotNull()).withColumn("a", D.as_map(F.col("document")))
+    parsed = once(raw.where(blank_to_null(F.col("contact_id")).isNotNull()), {"a": D.as_map(F.col("document"))})
     parsed = parsed.withColumns({f"_{g}": group_keys(attribute_map, g) for g in VENDOR_GROUPS})
     group = {g: F.col(f"_{g}") for g in VENDOR_GROUPS}
     at = lambda key: text_at("a", key)
-    born = birth_date(at("date_of_birth"), at("birth_day"), at("birth_month"), at("birth_year"))
-    typed = parsed.select(
+    birth = birth_date(at("date_of_birth"), at("birth_day"), at("birth_month"), at("birth_year"))
+    aged = once(parsed, {"birthday": birth, "birth_year": at("birth_year").try_cast("int")})
+    aged = once(aged, {"age": age_years(F.col("birthday"), F.col("birth_year"), as_of)})
+    low, high = ADULT_RANGE
+    adults = aged.where(F.col("age").between(low, high) | F.col("age").isNull())
+    return adults.select(
         "contact_id", "ingested_at",
         at("email").alias("email"),
         hashed_identifier(at("email_hashed"), at("normalized_email")).alias("email_hashed"),
@@ -57,14 +62,12 @@ def vendor_contacts(raw: DataFrame, as_of: Column, attribute_map: DataFrame) ->
         at("last_name").alias("last_name"),
         at("gender").alias("gender"),
         D.first_value(F.col("a"), group["city"]).alias("city"),
-        born.alias("birthday"),
-        age_years(born, at("birth_year").try_cast("int"), as_of).alias("age"),
+        "birthday",
+        "age",
         D.pick(F.col("a"), group["source"]).alias("source"),
         D.listed_values(F.col("a"), group["brands"]).alias("brands"),
         D.any_flag(F.col("a"), group["parent_flag"]).alias("parent_flag"),
     )
-    low, high = ADULT_RANGE
-    return typed.where(F.col("age").between(low, high) | F.col("age").isNull())
 
 
 VENDOR_TEXT = ["phone", "phone_hashed", "first_name", "last_name", "gender", "city", "birthday", "age", "brands", "parent_flag"]
@@ -82,6 +85,8 @@ def survivors(contacts: DataFrame) -> DataFrame:
 
     Documents are merged attribute by attribute and addresses are folded to
     their newest occurrence first, so no step gathers all rows of a contact.
+    ``contacts`` is read three times: pass a written table (``sinks.tables.
+    materialise``) rather than the parsing step itself.
     """
     values = latest_values(contacts, ["contact_id"], VENDOR_TEXT, ["ingested_at", "email", "phone"])
     documents = merged_documents(contacts, ["contact_id"], "source", ["ingested_at"])
@@ -142,12 +147,12 @@ def crm_contacts(raw: DataFrame) -> DataFrame:
     Columns: ids (JSON array of objects), document, object_id, created_at,
     modified_at.
     """
-    element = raw.select("*", F.explode(D.elements(F.col("ids"))).alias("e"))
+    element = once(raw.select("*", F.explode_outer(D.elements(F.col("ids"))).alias("e")).where(F.col("e").isNotNull()), {"attributes": D.as_map(F.col("document"))})
     return element.select(
         D.scalar_at(F.col("e"), "$.contact_id").alias("contact_id"),
         F.coalesce(D.scalar_at(F.col("e"), "$.phone"), D.scalar_at(F.col("e"), "$.mobile")).alias("phone"),
         D.scalar_at(F.col("document"), "$.email").alias("email"),
-        D.as_map(F.col("document")).alias("attributes"),
+        "attributes",
         "object_id", "created_at", "modified_at",
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from harborline.functions.dates import utc_text
 from harborline.functions.text import clean_email, clean_phone, with_country_prefix
 from harborline.operators import conform as C
+from harborline.operators.once import once
 from harborline.operators.identity import ERROR, attach_identity, triage
 from harborline.sinks.audit import audit_rows, error_rows
 
@@ -89,10 +90,9 @@ def load(
     df = standardise(raw, spec)
     classified = classify(df, spec, by_phone, by_email, spread_by)
     data = [c for c in df.columns if c not in ("file_name", *spread_by)]
-    consent = C.channel_consent(
-        F.col("normalized_phone"), F.col("normalized_email"), utc_text(F.col(spec.consent_time))
-    )
-    enriched = classified.withColumns(consent)
+    consent = C.channel_consent(F.col("normalized_phone"), F.col("normalized_email"), F.col("_consented"))
+    stamped = once(classified, {"_consented": utc_text(F.col(spec.consent_time))})
+    enriched = stamped.withColumns(consent).drop("_consented")
     body = C.payload(enriched, [*data, *consent], sorted(missing))
     records = enriched.where(F.col("outcome") != ERROR).select("identity", body.alias("payload"), "file_name")
     errors = error_rows(

@@ -31,7 +31,9 @@ LANDED_COLUMNS = [
 def flights(raw: DataFrame, value: str = "data") -> DataFrame:
     """One flat row per flight of each JSON batch."""
     parsed = raw.select(F.from_json(F.col(value).cast("string"), TELEMETRY_SCHEMA).alias("batch"))
-    flight = parsed.select(F.explode("batch.flights").alias("f")).select("f.*")
+    # the outer form keeps the engine from adding a filter that parses again
+    exploded = parsed.select(F.explode_outer("batch.flights").alias("f"))
+    flight = exploded.where(F.col("f").isNotNull()).select("f.*")
     return flight.select(
         *[c for c in flight.columns if c != "current_location"],
         F.col("current_location.latitude").alias("latitude"),

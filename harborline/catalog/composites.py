@@ -13,6 +13,8 @@ from harborline.catalog.registry import query
 from harborline.operators import scd
 from harborline.operators.admission import admission, recover
 from harborline.operators.latest import latest_by_key
+from harborline.functions.documents import as_map
+from harborline.operators.once import once
 from harborline.operators.validation import validation_cycle
 from harborline.plans import contacts, ingest, marts, messaging, profile, retail, warehouse
 from harborline.settings import work_path
@@ -566,8 +568,8 @@ classified AS (SELECT *, CASE WHEN o_totalprice > 450000 THEN 'error' WHEN ident
           CASE WHEN phone IS NOT NULL THEN 'true' END AS sms, 'sample' AS vendor FROM classified WHERE outcome <> 'error'""",
 )
 def c17_records(t):
-    records = loaded(t).records
-    at = lambda key, name=None: F.get_json_object("payload", f"$.{key}").alias(name or key)
+    records = once(loaded(t).records, {"p": as_map(F.col("payload"))})
+    at = lambda key, name=None: F.try_element_at("p", F.lit(key)).alias(name or key)
     return records.select(
         "identity", "file_name", at("normalized_email"), at("normalized_phone"), at("city"), at("email_consent_status_ts", "email_ts"), at("sms_consent_status", "sms"), at("vendor")
     )

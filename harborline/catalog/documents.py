@@ -54,7 +54,7 @@ def _batches(t):
 @query("u01_email_fold", f"WITH {S.CONTACT_ROWS}, {_ADDRESSES} SELECT contact_id, email FROM folded")
 def u01(t):
     newest, split = _batches(t)
-    known = newest.withColumn("known", D.fold_addresses(F.lit(None).cast("string"), *split(F.col("old"))))
+    known = once(newest, {"known": D.fold_addresses(F.lit(None).cast("string"), *split(F.col("old")))})
     return known.select("contact_id", D.fold_addresses(F.col("known"), *split(F.col("new"))).alias("email"))
 
 
@@ -327,8 +327,8 @@ def u22(t):
 )
 def u23(t):
     newest, split = _batches(t)
-    known = newest.withColumn("known", D.fold_addresses(F.lit(None).cast("string"), *split(F.col("old"))))
-    folded = known.select("contact_id", D.fold_addresses(F.col("known"), *split(F.col("new"))).alias("email"))
+    known = once(newest, {"known": D.fold_addresses(F.lit(None).cast("string"), *split(F.col("old")))})
+    folded = once(known, {"email": D.fold_addresses(F.col("known"), *split(F.col("new")))})
     primary = F.try_element_at(D.as_map(F.col("email")), F.lit("Primary"))
     validity = D.as_json(F.create_map(primary, F.lit("valid")))
     normalised = D.as_json(F.create_map(F.lit("Primary"), F.upper(primary)))

@@ -112,12 +112,10 @@ def age_years(birth: Column, birth_year: Column, as_of: Column, min_year: int =
 
 def birth_date(full: Column, day: Column, month: Column, year: Column) -> Column:
     """A date of birth from one text or from its three parts."""
-    parts = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-    return F.coalesce(
-        F.try_to_date(full, "yyyy-MM-dd"),
-        F.try_to_date(full, "dd/MM/yyyy"),
-        F.try_to_date(parts, "yyyy-MM-dd"),
+    parts = F.when(
+        day.isNotNull() & month.isNotNull() & year.isNotNull(), F.concat_ws("-", year, month, day)
     )
+    return F.coalesce(first_layout(full, ["yyyy-M-d", "d/M/yyyy"]), first_layout(parts, ["yyyy-M-d"])).cast("date")
 
 
 def _shape(layout: str) -> str:

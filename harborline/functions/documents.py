@@ -7,6 +7,7 @@ once at the sink (:func:`as_json`).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -21,6 +22,11 @@ LATER_LABEL = "Email_"
 DATE_KEY_SUFFIX = "Date"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), lambda bound: body(bound)), 1)
+
+
 # --- parsing and rendering -------------------------------------------------
 
 def as_map(document: Column) -> Column:
@@ -67,7 +73,10 @@ def any_flag(attributes: Column, keys: Column) -> Column:
     values = F.filter(
         F.transform(keys, lambda k: F.try_element_at(attributes, k)), lambda v: v.isNotNull()
     )
-    return F.when(F.size(values) > 0, F.exists(values, lambda v: F.coalesce(to_flag(v), F.lit(False))))
+    return let(
+        values,
+        lambda vs: F.when(F.size(vs) > 0, F.exists(vs, lambda v: F.coalesce(to_flag(v), F.lit(False)))),
+    )
 
 
 def flag_at(attributes: Column, key: str) -> Column:
@@ -92,7 +101,7 @@ def listed_values(attributes: Column, keys: Column, allowed: Column | None = Non
     kept = F.filter(F.array_distinct(values), lambda v: v != "")
     if allowed is not None:
         kept = F.filter(kept, lambda v: (F.size(allowed) == 0) | F.array_contains(allowed, v))
-    return F.when(F.size(kept) > 0, F.array_join(kept, ","))
+    return F.nullif(F.array_join(kept, ","), F.lit(""))
 
 
 def brand_values(attributes: Column, keys: Column, category_of: Column) -> Column:
@@ -178,7 +187,7 @@ def union_lists(*lists: Column) -> Column:
     """Set union of comma lists, first occurrence keeps its place."""
     items = F.transform(F.split(F.concat_ws(",", *lists), ","), lambda v: F.trim(v))
     kept = F.array_distinct(F.filter(items, lambda v: v != ""))
-    return F.when(F.size(kept) > 0, F.array_join(kept, ","))
+    return F.nullif(F.array_join(kept, ","), F.lit(""))
 
 
 def union_list_array(lists: Column) -> Column:
@@ -189,7 +198,7 @@ def union_list_array(lists: Column) -> Column:
 def distinct_values(values: Column) -> Column:
     """Distinct filled values of an array as one comma list."""
     kept = F.array_distinct(F.filter(values, lambda v: v.isNotNull() & (F.trim(v) != "")))
-    return F.when(F.size(kept) > 0, F.array_join(kept, ","))
+    return F.nullif(F.array_join(kept, ","), F.lit(""))
 
 
 def filled_or(source: Column, target: Column) -> Column:
@@ -229,24 +238,32 @@ def fold_addresses(old: Column, values: Column, dates: Column) -> Column:
         ),
     )
     pairs = F.concat(F.coalesce(known, none), F.coalesce(batch, none))
+    no_news = F.coalesce(F.size(values), F.lit(0)) <= 0
+    return F.when(
+        old.isNotNull() & no_news, F.coalesce(F.when(known_map.isNotNull(), old), F.lit("{}"))
+    ).otherwise(let(let(pairs, _newest_first), _labelled))
+
+
+def _newest_first(pairs: Column) -> Column:
+    """First occurrence of each address, dated ones first, newest on top."""
     names = F.transform(pairs, lambda p: p["value"])
     unique = F.filter(pairs, lambda p, i: F.array_position(names, p["value"]) == i + 1)
-    ranked = F.sort_array(
-        F.transform(unique, lambda p, i: F.struct(p["at"].alias("at"), (-i).alias("seq"), p["value"].alias("value"))),
-        asc=False,
+    ranked = F.transform(
+        unique, lambda p, i: F.struct(p["at"].alias("at"), (-i).alias("seq"), p["value"].alias("value"))
     )
+    return F.sort_array(ranked, asc=False)
+
+
+def _labelled(ranked: Column) -> Column:
+    """JSON object label -> address; null when there is none."""
     labels = F.transform(
         ranked,
         lambda _, i: F.when(
-            i < len(FIRST_LABELS), F.element_at(F.array(*map(F.lit, FIRST_LABELS)), i + 1)
+            i < len(FIRST_LABELS), F.try_element_at(F.array(*map(F.lit, FIRST_LABELS)), i + 1)
         ).otherwise(F.concat(F.lit(LATER_LABEL), (i + 1).cast("string"))),
     )
     merged = F.map_from_arrays(labels, F.transform(ranked, lambda r: r["value"]))
-    no_news = F.coalesce(F.size(values), F.lit(0)) <= 0
-    return (
-        F.when(old.isNotNull() & no_news, F.coalesce(F.when(known_map.isNotNull(), old), F.lit("{}")))
-        .when(F.size(ranked) > 0, as_json(merged))
-    )
+    return F.when(F.size(ranked) > 0, as_json(merged))
 
 
 def ids_by_address(pairs: Column) -> Column:
@@ -287,9 +304,12 @@ def merge_validity(target: Column, addresses: Column, bad: Column, results: Colu
         ),
     )
     stated = F.filter(states, lambda s: s["address"].isNotNull() & s["state"].isNotNull())
-    names = F.transform(stated, lambda s: s["address"])
-    newest = F.filter(stated, lambda s, i: F.array_position(names, s["address"]) == i + 1)
-    return prefer_source(target, F.map_from_entries(newest))
+
+    def newest(found: Column) -> Column:
+        names = F.transform(found, lambda s: s["address"])
+        return F.map_from_entries(F.filter(found, lambda s, i: F.array_position(names, s["address"]) == i + 1))
+
+    return prefer_source(target, let(stated, newest))
 
 
 def primary_address(address: Column, validity: Column, normalised: Column, hashed: Column) -> Column:

@@ -117,17 +117,15 @@ def parse_lines(lines: DataFrame, fields: list[TypedField], line: str = "value")
     """(records, rejected lines) of CSV text lines.
 
     A line with another number of columns is rejected whole; a value that does
-    not fit its type becomes null. Columns are counted by a surplus column that
-    swallows what is left over and by the last expected one being there.
+    not fit its type becomes null. Columns are counted by the commas that are
+    left once quoted cells are taken out.
     """
-    width = len(fields)
-    names = [f"c{i}" for i in range(width + 1)]
-    parsed = lines.withColumn(
-        "_cells", F.from_csv(F.col(line), ", ".join(f"{n} string" for n in names), {"emptyValue": "", "nullValue": "\u0000"})
-    )
-    fits = F.col(f"_cells.c{width}").isNull() & F.col(f"_cells.c{width - 1}").isNotNull()
+    bare = F.regexp_replace(F.col(line), '"([^"]|"")*"', "")
+    fits = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) == len(fields) - 1
+    cells = ", ".join(f"c{i} string" for i in range(len(fields)))
+    parsed = lines.where(fits).withColumn("_cells", F.from_csv(F.col(line), cells))
     rest = [c for c in lines.columns if c != line]
-    records = parsed.where(fits).select(
+    records = parsed.select(
         *rest, *[_typed(f, F.col(f"_cells.c{i}")).alias(f.name) for i, f in enumerate(fields)]
     )
-    return records, parsed.where(~fits).select(*lines.columns)
+    return records, lines.where(~fits)

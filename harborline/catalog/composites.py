@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from harborline.catalog import shapes as S
 from harborline.catalog.aggregates import _DETAIL, _STAR, BRAND_METRICS, _BRAND_COUNTS, star_facts
-from harborline.catalog.documents import _ADDRESSES
+from harborline.catalog.documents import _ADDRESSES, crm_raw
 from harborline.catalog.projections import TELEMETRY, telemetry
 from harborline.catalog.registry import query
 from harborline.operators import scd
@@ -207,6 +207,26 @@ def c08_revenue(t):
     return S.doubles(marts.order_revenue(S.bronze_orders(t), S.bronze_items(t), S.DAY).drop("day"), "revenue")
 
 
+@query(
+    "k07_replay_guard",
+    f"""WITH {S.USER_VERSIONS} SELECT count(*) AS versions, TRUE AS same_day_refused, FALSE AS next_day_refused FROM dim_user""",
+)
+def k07(t):
+    dim = S.dim_user(t)
+    last = dim.agg(F.max("start_date").cast("string").alias("d")).first()["d"]
+
+    def refused(day):
+        try:
+            scd.guard_dimension(dim, day)
+        except ValueError:
+            return True
+        return False
+
+    return dim.agg(F.count(F.lit(1)).alias("versions")).select(
+        "versions", F.lit(refused(last)).alias("same_day_refused"), F.lit(refused("2099-01-01")).alias("next_day_refused")
+    )
+
+
 # --- retail ----------------------------------------------------------------
 
 def _sales(t):
@@ -353,6 +373,43 @@ def c12_merge(t):
     return _flat(merged).select(*_PICKED)
 
 
+_CRM = """
+crm AS (SELECT CAST(o_custkey AS VARCHAR) AS contact_id, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority ELSE o_orderstatus END AS phone,
+  CASE WHEN o_orderstatus <> 'P' THEN 'c' || o_orderpriority || '@example.org' END AS email, o_orderstatus AS status, o_orderpriority AS priority, o_orderdate AS modified_at, o_orderkey AS object_id, o_orderdate >= TIMESTAMP '1999-01-01' AS late FROM orders)
+"""
+
+
+def _crm_side(name: str, late: str) -> str:
+    return f"""{name} AS (SELECT contact_id, arg_max(phone, (modified_at, CAST(object_id AS VARCHAR))) AS phone, list_sort(list_distinct(flatten(list([priority, status])))) AS brands FROM crm WHERE {late} GROUP BY 1)"""
+
+
+@query(
+    "c11_crm_merge",
+    f"""WITH {_CRM}, {_crm_side('o', 'NOT late')}, {_crm_side('n', 'late')},
+        ids AS (SELECT contact_id, count(DISTINCT (email, object_id)) AS id_count, count(DISTINCT email) AS address_count FROM crm WHERE email IS NOT NULL GROUP BY 1),
+        relations AS (SELECT contact_id, count(DISTINCT (priority, status)) AS relation_count FROM crm GROUP BY 1),
+        valid AS (SELECT contact_id, count(*) FILTER (state = 'invalid') AS invalid_count FROM (
+          SELECT contact_id, email, arg_max(CASE status WHEN 'F' THEN 'invalid' ELSE 'valid' END, (modified_at, CAST(object_id AS VARCHAR))) AS state FROM crm WHERE email IS NOT NULL GROUP BY 1, 2) GROUP BY 1)
+        SELECT contact_id, COALESCE(n.phone, o.phone) AS phone,
+          array_to_string(list_concat(COALESCE(o.brands, []), list_filter(COALESCE(n.brands, []), lambda x: NOT list_contains(COALESCE(o.brands, []), x))), ',') AS brands,
+          COALESCE(CAST(id_count AS INTEGER), 0) AS id_count, COALESCE(CAST(address_count AS INTEGER), 0) AS address_count, CAST(relation_count AS INTEGER) AS relation_count, COALESCE(CAST(invalid_count AS INTEGER), 0) AS invalid_count
+        FROM o FULL JOIN n USING (contact_id) LEFT JOIN ids USING (contact_id) LEFT JOIN relations USING (contact_id) LEFT JOIN valid USING (contact_id)""",
+)
+def c11_merge(t):
+    crm = materialise(contacts.crm_contacts(crm_raw(t)), work_path(t.spark, "crm"))
+    late = F.col("modified_at") >= F.lit(S.CUTOFF).cast("timestamp_ntz")
+    first, second = contacts.crm_survivors(crm.where(~late)), contacts.crm_survivors(crm.where(late))
+    stamps = {c: F.lit(None).cast("timestamp_ntz") for c in ("personalised_at", "created_at", "updated_at")}
+    merged = contacts.merge_crm(first.withColumns(stamps), second, _now())
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    ids = F.aggregate(F.coalesce(F.map_values("crm_ids"), F.array().cast("array<array<string>>")), F.lit(0), lambda n, l: n + F.size(l))
+    invalid = F.size(F.filter(F.coalesce(F.map_values("validity"), F.array().cast("array<string>")), lambda v: v == "invalid"))
+    return merged.select(
+        "contact_id", "phone", "brands", ids.alias("id_count"), F.greatest(size(F.map_keys("crm_ids")), F.lit(0)).alias("address_count"),
+        size("relations").alias("relation_count"), invalid.alias("invalid_count"),
+    )
+
+
 # --- messaging -------------------------------------------------------------
 
 _MESSAGES = f"{S.MESSAGE_REPORT}, {S.SENDERS}, {S.UNSUBSCRIBES}, {_BRAND_COUNTS}, {BRAND_METRICS}"

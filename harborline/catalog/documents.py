@@ -433,6 +433,8 @@ def crm_raw(t):
     document = F.to_json(F.struct(
         F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("c"), F.col("o_orderpriority"), F.lit("@example.org"))).alias("email"),
         F.concat_ws(" , ", "o_orderpriority", "o_orderstatus").alias("brands"),
+        F.when(F.col("o_orderstatus") == "F", "true").alias("bad_address"), F.lit("valid").alias("verdict"),
+        F.col("o_orderpriority").alias("relation_name"), F.col("o_orderstatus").alias("relation_kind"),
     ))
     return o.select(ids.alias("ids"), document.alias("document"), F.col("o_orderkey").cast("string").alias("object_id"), F.col("o_orderdate").alias("created_at"), F.col("o_orderdate").alias("modified_at"))
 

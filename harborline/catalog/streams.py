@@ -111,3 +111,26 @@ def r09(t):
         stream = jobs.file_stream(t.spark, inbox, schema, glob="*.csv", fmt="csv", header="true")
         jobs.append_to(stream, out, out + "-checkpoint").awaitTermination()
     return t.spark.read.schema(schema).parquet(out).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+
+
+@query("k01_micro_batch_sink", "SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1")
+def k01(t):
+    out = work_path(t.spark, "batches")
+    write = lambda batch, number: batch.write.mode("overwrite").parquet(f"{out}/_batch={number}")
+    jobs.batch_sink(_events(t).select("event_id", "event_type"), write, out + "-checkpoint").awaitTermination()
+    return t.spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query(
+    "r03_late_rows_are_kept",
+    """SELECT user_id, count(*) AS failed_count, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end
+       FROM events WHERE event_type = 'error' GROUP BY 1, 3""",
+)
+def r03(t):
+    inbox, out = work_path(t.spark, "late-events"), work_path(t.spark, "late-bursts")
+    middle = F.lit("2024-01-15").cast("timestamp_ntz")
+    for delivered in (F.col("ts") >= middle, F.col("ts") < middle):  # the older half arrives last
+        t.events.where(delivered).write.mode("append").parquet(inbox)
+        stream = jobs.file_stream(t.spark, inbox, t.events.schema)
+        jobs.update_to(jobs.bursts(stream, "user_id", "ts", F.col("event_type") == "error", 1), out, out + "-checkpoint").awaitTermination()
+    return jobs.newest_state(t.spark.read.parquet(out), ["user_id", "window_start", "window_end"])

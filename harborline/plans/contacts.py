@@ -176,6 +176,54 @@ def crm_ids(contacts: DataFrame) -> DataFrame:
     )
 
 
+RELATION = ["relation_name", "relation_kind"]
+
+
+def crm_survivors(contacts: DataFrame) -> DataFrame:
+    """One row per contact: newest phone, brand list, CRM ids, address validity
+    and the distinct relations named in its records.
+
+    Every part is folded to distinct or newest rows before it is collected.
+    ``contacts`` is read once per part: pass a written table.
+    """
+    order = ["modified_at", "object_id"]
+    at = lambda key: F.try_element_at("attributes", F.lit(key))
+    phones = latest_values(contacts, ["contact_id"], ["phone"], order)
+    stated = contacts.where(F.col("email").isNotNull()).select(
+        "contact_id", "email", *order,
+        F.when(F.lower(at("bad_address")) == "true", "invalid").otherwise(at("verdict")).alias("state"),
+    )
+    newest = latest_values(stated, ["contact_id", "email"], ["state"], order).where(F.col("state").isNotNull())
+    validity = newest.groupBy("contact_id").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("email", "state")))).alias("validity")
+    )
+    named = contacts.select("contact_id", *[at(c).alias(c) for c in RELATION]).distinct()
+    relations = named.where(F.coalesce(*RELATION).isNotNull()).groupBy("contact_id").agg(
+        F.array_sort(F.collect_list(F.struct(*RELATION))).alias("relations")
+    )
+    result = phones
+    for part in (listed_per_contact(contacts, "brands"), crm_ids(contacts), validity, relations):
+        result = result.join(part, "contact_id", "left")
+    return result
+
+
+CRM_RULES = {
+    "phone": M.coalesce,
+    "brands": M.csv_union,
+    "crm_ids": M.merge_ids,
+    "validity": M.map_merge,
+    "relations": M.append_structs,
+}
+
+
+def merge_crm(target: DataFrame, source: DataFrame, now: Column) -> DataFrame:
+    """Upsert CRM survivors; a changed phone or brand list is stamped."""
+    return M.merge_upsert(
+        target, source, ["contact_id"], CRM_RULES, watched=["phone", "brands"], bump="personalised_at",
+        created_at="created_at", updated_at="updated_at", now=now, check_unique=False,
+    )
+
+
 def listed_per_contact(contacts: DataFrame, key: str) -> DataFrame:
     """All entries of one list-valued attribute per contact, sorted."""
     entries = contacts.select(

@@ -102,7 +102,10 @@ NOTIFICATION_KEYS = ["contact_id", "report_id", "message_id"]
 
 
 def notifications(report: DataFrame, senders: DataFrame, recent: Column) -> DataFrame:
-    """One row per notification, newest ingestion first."""
+    """One row per notification, newest ingestion first.
+
+    A bot that sends for several brands is shown with the first of them.
+    """
     brands = senders.groupBy("bot_id").agg(F.min("brand_name").alias("brand_name"))
     named = recent_or_all(report, recent).where(F.col("contact_id").isNotNull()).join(brands, "bot_id", "left").withColumn(
         "campaign_name", campaign_name(F.col("template_id"), F.col("name"))

@@ -121,7 +121,8 @@ def parse_lines(lines: DataFrame, fields: list[TypedField], line: str = "value")
     left once quoted cells are taken out.
     """
     bare = F.regexp_replace(F.col(line), '"([^"]|"")*"', "")
-    fits = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) == len(fields) - 1
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    fits = F.coalesce(commas == len(fields) - 1, F.lit(False))
     cells = ", ".join(f"c{i} string" for i in range(len(fields)))
     parsed = lines.where(fits).withColumn("_cells", F.from_csv(F.col(line), cells))
     rest = [c for c in lines.columns if c != line]

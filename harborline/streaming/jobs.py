@@ -5,6 +5,8 @@ repeats a micro-batch instead of losing it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -40,6 +42,16 @@ def _numbered_batches(path: str):
     return write
 
 
+def batch_sink(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Hand every micro-batch to a batch writer such as ``sinks.write_jdbc``.
+
+    After a failure a batch is handed over again under the same number, so the
+    writer should replace what it wrote for that number.
+    """
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _trigger(writer, every).start()
+
+
 def last_value_per_key(stream: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """Keyed state holding the latest row of each key."""
     columns = [F.col(c) if isinstance(c, str) else c for c in order]
@@ -89,7 +101,7 @@ def bursts(events: DataFrame, user: str, ts: str, condition: Column, at_least: i
     )
 
 
-def two_sinks(stream: DataFrame, shapes: dict[str, callable], path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def two_sinks(stream: DataFrame, shapes: dict[str, Callable[[DataFrame], DataFrame]], path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Several tables from one read of the input.
 
     Each micro-batch is cached once and written once per shape, in a folder
@@ -103,8 +115,7 @@ def two_sinks(stream: DataFrame, shapes: dict[str, callable], path: str, checkpo
         finally:
             batch.unpersist()
 
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
-    return _trigger(writer, every).start()
+    return batch_sink(stream, write, checkpoint, every)
 
 
 def file_stream(spark, path: str, schema, glob: str | None = None, fmt: str = "parquet", **options: str) -> DataFrame:

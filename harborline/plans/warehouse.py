@@ -31,9 +31,10 @@ def day_range(bounds: DataFrame, first: str, last: str) -> DataFrame:
 def fact_order(orders: DataFrame, users: DataFrame, shipping: DataFrame, payments: DataFrame, day: str | None = None) -> DataFrame:
     """Order status facts: one row per status an order reached.
 
-    The status branches are laid out as an array and exploded, so every input
-    is read once instead of once per branch. All branches look up the user
-    version at creation time.
+    All branches look up the user version at creation time and the same place
+    and payment, so these are joined once per order; the status rows are laid
+    out as an array and exploded at the very end. Every input is read once and
+    no branch row goes through a shuffle.
     """
     status = F.col("order_status")
     row = lambda name, at, done: F.struct(
@@ -51,28 +52,26 @@ def fact_order(orders: DataFrame, users: DataFrame, shipping: DataFrame, payment
     )
     if day:
         orders = orders.where(on_day(F.col("created_time"), day) | on_day(F.col("updated_time"), day))
-    reached = orders.withColumn("b", F.explode(branches))
-    if day:
-        reached = reached.where(F.col("b.date_key") == F.lit(day).cast("date"))
-    versioned = version_at(
-        reached, users, "user_id", "created_time", ["user_key"], keep_unmatched=False
-    )
-    return (
+    versioned = version_at(orders, users, "user_id", "created_time", ["user_key"], keep_unmatched=False)
+    reached = (
         versioned.join(shipping.select("order_id", "postal_code", "country", "city"), "order_id", "left")
         .join(payments.select("order_id", "payment_method"), "order_id", "left")
-        .select(
-            "order_id",
-            "user_key",
-            F.col("b.date_key").alias("date_key"),
-            F.col("b.status").alias("order_status"),
-            F.col("created_time").alias("order_created_time"),
-            F.col("b.order_completed_time").alias("order_completed_time"),
-            "payment_method",
-            "postal_code",
-            "country",
-            "city",
-            "total_amount",
-        )
+        .withColumn("b", F.explode(branches))
+    )
+    if day:
+        reached = reached.where(F.col("b.date_key") == F.lit(day).cast("date"))
+    return reached.select(
+        "order_id",
+        "user_key",
+        F.col("b.date_key").alias("date_key"),
+        F.col("b.status").alias("order_status"),
+        F.col("created_time").alias("order_created_time"),
+        F.col("b.order_completed_time").alias("order_completed_time"),
+        "payment_method",
+        "postal_code",
+        "country",
+        "city",
+        "total_amount",
     )
 
 

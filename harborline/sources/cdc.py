@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harborline.operators.once import once
 
 @dataclass(frozen=True)
 class Field:
@@ -124,9 +125,8 @@ def after_images(records: DataFrame, table: str, value: str = "value") -> DataFr
 
     Deletes carry no such row and are dropped. Works on batch and stream.
     """
-    decoded = records.select(
-        F.from_json(F.col(value).cast("string"), envelope_schema(table)).alias("record")
-    ).where(F.col("record.after").isNotNull())
+    envelope = F.from_json(F.col(value).cast("string"), envelope_schema(table))
+    decoded = once(records.select(value), {"record": envelope}).where(F.col("record.after").isNotNull())
     return decoded.select(
         *[decode(f, F.col(f"record.after.{f.name}")).alias(f.name) for f in TABLES[table].fields]
     )

@@ -87,18 +87,17 @@ def merge_upsert(
     stamps = [c for c in (bump, created_at, updated_at) if c]
     columns = [c for c in target.columns if c not in keys]
     source_names = set(source.columns)
-    left = target.select(*keys, F.struct(F.lit(True).alias("_is"), *columns).alias("t"))
-    right = source.select(
-        *keys, F.struct(F.lit(True).alias("_is"), *[c for c in source.columns if c not in keys]).alias("s")
+    side = lambda df, mark: df.select(
+        *keys, F.lit(True).alias(mark), *[F.col(c).alias(f"{mark}{c}") for c in df.columns if c not in keys]
     )
-    joined = left.join(right, keys, "full_outer")
-    matched = F.col("t").isNotNull() & F.col("s").isNotNull()
-    inserted = F.col("t").isNull()
+    joined = side(target, "_t_").join(side(source, "_s_"), keys, "full_outer")
+    matched = F.col("_t_").isNotNull() & F.col("_s_").isNotNull()
+    inserted = F.col("_t_").isNull()
 
     def merged(name: str) -> Column:
         if name not in source_names:
-            return F.col(f"t.{name}")
-        old, new = F.col(f"t.{name}"), F.col(f"s.{name}")
+            return F.col(f"_t_{name}")
+        old, new = F.col(f"_t_{name}"), F.col(f"_s_{name}")
         fresh = (on_insert or {}).get(name, overwrite)(F.lit(None), new)
         return (
             F.when(matched, rules.get(name, keep)(old, new)).when(inserted, fresh).otherwise(old)
@@ -108,10 +107,10 @@ def merge_upsert(
     if bump:
         changed = F.lit(False)
         for name in watched or []:
-            changed = changed | ~values[name].eqNullSafe(F.col(f"t.{name}"))
-        values[bump] = F.when(matched & changed, now).when(inserted, now).otherwise(F.col(f"t.{bump}"))
+            changed = changed | ~values[name].eqNullSafe(F.col(f"_t_{name}"))
+        values[bump] = F.when(matched & changed, now).when(inserted, now).otherwise(F.col(f"_t_{bump}"))
     if created_at:
-        values[created_at] = F.when(inserted, now).otherwise(F.col(f"t.{created_at}"))
+        values[created_at] = F.when(inserted, now).otherwise(F.col(f"_t_{created_at}"))
     if updated_at:
-        values[updated_at] = F.when(F.col("s").isNotNull(), now).otherwise(F.col(f"t.{updated_at}"))
+        values[updated_at] = F.when(F.col("_s_").isNotNull(), now).otherwise(F.col(f"_t_{updated_at}"))
     return joined.select(*keys, *[values[name].alias(name) for name in columns])

@@ -21,8 +21,6 @@ SESSION_CONF = {
     # split a skewed join even where that costs one more exchange: one key may
     # hold a large share of all rows
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 _fallback_dirs: dict[str, str] = {}

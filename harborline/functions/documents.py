@@ -8,7 +8,6 @@ once at the sink (:func:`as_json`).
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -329,7 +328,3 @@ def named_counts(name: Column, counts: dict[str, Column]) -> Column:
     """One ``"name":{...}`` fragment of a JSON object."""
     body = as_json(F.struct(*[c.alias(n) for n, c in counts.items()]))
     return F.concat(F.lit('"'), name, F.lit('":'), body)
-
-
-def coalesce_all(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: F.coalesce(a, b), columns)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +48,3 @@ def invalid_datetimes(df: DataFrame, columns: list[str], layouts: list[str] = CH
 
     found = F.array_compact(F.array(*[broken(c) for c in columns]))
     return df.withColumn("problems", found).where(F.size("problems") > 0)
-
-
-def all_of(*conditions: Column) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

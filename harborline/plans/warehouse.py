@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +10,8 @@ from harborline.functions.dates import calendar_columns, on_day
 from harborline.operators.aggregates import count_distinct_if, sum_if
 from harborline.operators.asof import version_at, versions_on
 from harborline.operators.conform import cleaning_columns
+from harborline.operators.scd import guard_dimension, guard_fact, scd2_apply
+from harborline.sinks.tables import materialise, replace_partitions
 
 
 def bronze_to_silver(bronze: DataFrame, day: str | None = None) -> DataFrame:
@@ -139,3 +142,32 @@ def daily_user(fact: DataFrame, users: DataFrame, day: str | None = None) -> Dat
         F.count_distinct("user_id").alias("active_user"),
         count_distinct_if(F.col("user_id"), F.col("created") == F.col("date_key")).alias("new_user"),
     )
+
+
+def _stored(like: DataFrame, path: str) -> DataFrame | None:
+    """The table at ``path``, or nothing before the first load."""
+    try:
+        return like.sparkSession.read.parquet(path).select(*like.columns)
+    except AnalysisException:
+        return None
+
+
+def store_fact(fact: DataFrame, path: str, day: str, sort: list[str]) -> None:
+    """Write one day of facts into its own partition, once.
+
+    Sorting inside the partition lets later scans skip row groups.
+    """
+    stored = _stored(fact, path)
+    if stored is not None:
+        guard_fact(stored, day)
+    replace_partitions(fact.where(F.col("date_key") == F.lit(day).cast("date")), path, ["date_key"], sort)
+
+
+def store_dimension(changes: DataFrame, old: DataFrame, path: str, key: str, surrogate: str, day: str) -> DataFrame:
+    """Apply one day of changes and write the dimension as a new snapshot.
+
+    ``path`` is a fresh folder; readers switch to it once it is complete, so a
+    failed run leaves the previous snapshot in place.
+    """
+    guard_dimension(old, day)
+    return materialise(scd2_apply(old, changes, key, surrogate, day), path)

@@ -35,11 +35,10 @@ found AS (SELECT a AS id, min(b) AS component FROM reach GROUP BY a)
     f"""
 WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t-\\r]+') AS w FROM documents),
-shingled AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM worded),
-sizes AS (SELECT doc_id, len(s) AS n FROM shingled),
-flat AS (SELECT doc_id, unnest(s) AS s FROM shingled),
+flat AS (
+  SELECT DISTINCT doc_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM worded WHERE len(w) >= 3)
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM worded WHERE len(w) IN (1, 2)),
+sizes AS (SELECT doc_id, count(s) AS n FROM worded LEFT JOIN flat USING (doc_id) GROUP BY doc_id),
 common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM flat x JOIN flat y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
 links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
 {_COMPONENTS}

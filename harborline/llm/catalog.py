@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import language_id, minhash
+from harborline.llm import language_id, minhash, mixing, sentencepiece, toxicity
 from harborline.llm.common import remainder, table
+from harborline.llm.stages import TARGETS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +32,23 @@ found AS (SELECT a AS id, min(b) AS component FROM reach GROUP BY a)
 """
 
 
+@query("op3_mixing_to_targets")
+def op3_mixing_to_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """Rates of all documents that give the quality labels their target shares of the tokens."""
+    docs = table(spark, folder, "documents")
+    mixed = mixing.mix_to_targets(docs, table(spark, folder, "labels"), TARGETS, keep=["doc_id", "source"])
+    return mixed.select("row.doc_id", "row.source", "made.tokens", "made.posteriors", "made.rate", "made.copies")
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from labels of documents whose crc32 modulo 5 is not 0."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs.where(~toxicity.held_out()), table(spark, folder, "labels"))
+    found = toxicity.score(docs, model, ["doc_id"])
+    return found.select("row.doc_id", (remainder(F.col("row.doc_id"), 5) == 0).alias("held_out"), "made.score", (F.col("made.score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query(
     "op5_minhash_near_duplicates",
     f"""
@@ -58,3 +77,12 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = language_id.fit(docs.where(~language_id.held_out()))
     found = language_id.identify(docs, model, ["doc_id"])
     return found.select("row.doc_id", (remainder(F.col("row.doc_id"), 4) == 2).alias("held_out"), "made.lang_pred", "made.score", "made.coverage")
+
+
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of every document and, decoded again, whether the text came back exactly."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    made = sentencepiece.encode(table(spark, folder, "documents"), path, ["doc_id", "text"])
+    back = sentencepiece.decode(made.select("row.doc_id", "row.text", "made.ids", "made.score"), path, into="decoded")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"), "score", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))

@@ -139,7 +139,7 @@ def fit_rates(members: DataFrame, domains: int, targets: np.ndarray, most: int =
                 rate = rate_of(p, steps)
                 reached += p.T @ (tokens * rate)
                 gram += (p * (tokens * (rate > 0))[:, None]).T @ p
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(domains * (domains + 1))), pa.array(np.concatenate([reached, gram.ravel()]))], names=["k", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(domains * (domains + 1), dtype=np.int32)), pa.array(np.concatenate([reached, gram.ravel()]))], names=["k", "v"])
 
         got = members.select("tokens", "posteriors").mapInArrow(part, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).toArrow()
         flat = np.zeros(domains * (domains + 1))

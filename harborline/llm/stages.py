@@ -16,7 +16,7 @@ from harborline.llm.common import table
 #: A text stays if its language's filter knows this share of its n-grams; text of a learned language has 0.6 and more.
 COVERAGE = 0.25
 #: Shares of the kept tokens by quality label.
-TARGETS = {"1": 0.9, "0": 0.1}
+TARGETS = {"1": 0.95, "0": 0.05}
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

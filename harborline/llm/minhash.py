@@ -9,13 +9,14 @@ concentrated around their Jaccard similarity as tightly as for independent
 draws.
 
 Documents with the same set of shingles are one class at once. Of each class
-one document is compared further: bands of `rows` coordinates put it into
-buckets, everybody in a bucket is compared with the bucket's leader on the full
-sets, and linked documents form components. A bucket in which more than one
-component is left is settled: a small one by comparing its components' members
-with each other, a large one by cutting it into finer buckets with other bands
-of the same sketch. No bucket is capped, and pairs inside one component are
-never listed.
+one document is compared further: bands of `ROWS` coordinates put it into
+buckets, everybody in a bucket is compared with the bucket's leader, and linked
+documents form components; a second round has other leaders. Where a bucket
+still holds more than one component, all members of different components are
+compared, in blocks of bounded size. A comparison first looks at the sketches,
+with a margin of seven standard deviations, and then at the full sets, which are
+computed again from the texts of the few documents that need it. No bucket is
+capped, and pairs inside one component are never listed.
 """
 
 from __future__ import annotations
@@ -24,15 +25,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import LOWER_AZ, connected_components, mix, prepare_llm, stored, text_blocks
+from harborline.llm.common import LOWER_AZ, blocks_for, connected_components, mix, prepare_llm, stored, text_blocks
 
-COORDINATES = 120
-ROWS = 4
-#: A pair at the least similarity of 0.8 misses all 30 bands with probability (1 - 0.8**4)**30, under 2e-7; at 0.85 under 4e-10.
-SMALL_BUCKET = 64
+COORDINATES = 160
+#: A pair at a similarity of 0.8 misses all 32 bands with probability (1 - 0.8**5)**32, 3e-6; at 0.85 with 8e-9.
+ROWS = 5
+#: Members of a bucket that one task compares with as many others.
+BLOCK = 512
+#: Bits of the filter that keeps texts which need no full set out of the shuffle.
+FILTER_BITS = 1 << 23
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -105,14 +109,19 @@ def sketches(values: np.ndarray, counts: np.ndarray, coordinates: int = COORDINA
     return out.reshape(n, coordinates)
 
 
-def band_keys(sketch: np.ndarray, rows: int, round_: int) -> np.ndarray:
-    """Hashes of bands of `rows` coordinates; another round groups the coordinates in another order."""
-    n = sketch.shape[1]
-    order = np.random.default_rng(round_).permutation(n)[: n // rows * rows].reshape(-1, rows)
-    key = np.zeros((len(sketch), len(order)), np.uint64)
+def band_keys(sketch: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """Hashes of the bands of `rows` coordinates."""
+    bands = sketch.shape[1] // rows
+    key = np.zeros((len(sketch), bands), np.uint64)
     for j in range(rows):
-        key = mix(key * np.uint64(0x100000001B3) + sketch[:, order[:, j]])
-    return mix(key + np.arange(len(order), dtype=np.uint64))
+        key = mix(key * np.uint64(0x100000001B3) + sketch[:, j : bands * rows : rows])
+    return mix(key + np.arange(bands, dtype=np.uint64))
+
+
+def least_equal(percent: int, coordinates: int = COORDINATES) -> int:
+    """Equal coordinates that a pair at the threshold has, but for seven standard deviations."""
+    p = percent / 100
+    return int(coordinates * p - 7 * (coordinates * p * (1 - p)) ** 0.5)
 
 
 def _sketched(words: int):
@@ -126,10 +135,12 @@ def _sketched(words: int):
                 for salt in (1, 2):  # two sums over the set: its fingerprint
                     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values * np.uint64(2 * salt + 1) + np.uint64(salt)))])
                     marks.append((sums[ends] - sums[ends - counts]).view(np.int64))
-                keys = band_keys(sketches(values, counts), ROWS, 0).view(np.int64)
+                sketch = sketches(values, counts)
+                keys = band_keys(sketch).view(np.int64)
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(len(block) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel()))
+                short = [row.tobytes() for row in mix(sketch).astype(np.uint8)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(block)), pa.array(counts), pa.array(marks[0]), pa.array(marks[1]), bands], names=["id", "n", "mark", "mark2", "bands"]
+                    [batch.column(0).take(pa.array(block)), pa.array(counts), pa.array(marks[0]), pa.array(marks[1]), bands, pa.array(short, pa.binary())], names=["id", "n", "mark", "mark2", "bands", "sketch"]
                 )
 
     return run
@@ -142,16 +153,63 @@ def _full_sets(words: int):
             for block in text_blocks(texts):
                 values, counts = shingle_sets([texts[i] for i in block], words)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                sketch = sketches(values, counts)
-                fine = [band_keys(sketch, ROWS, r).view(np.int64) for r in (1, 2, 3)]
-                lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(block) + 1, dtype=np.int32) * k.shape[1]), pa.array(k.ravel())) for k in fine]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(block)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64))), *lists], names=["id", "members", "bands1", "bands2", "bands3"]
-                )
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(block)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))], names=["id", "members"])
 
     return run
 
 
+def _alike(percent: int):
+    """Pairs (a, b, na, nb, sa, sb) whose sketches are alike."""
+    least = least_equal(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sa", "sb"))
+                yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b", "na", "nb")], names=["a", "b", "na", "nb"]).filter(pa.array((left == right).sum(1) >= least))
+
+    return run
+
+
+def _block_pairs(percent: int):
+    """Pairs of different components in one block (or between two blocks) of a bucket whose sketches are alike."""
+    least = least_equal(percent)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, n, component, block = (table.column(c).to_numpy() for c in ("id", "n", "component", "block"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
+        one, two = table.column("one")[0].as_py(), table.column("two")[0].as_py()
+        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        found = [np.zeros((0, 2), np.int64)]
+        for i in left:
+            others = right[(component[right] != component[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)]
+            if one == two:
+                others = others[others > i]
+            if len(others):
+                others = others[(sketch[others] == sketch[i]).sum(1) >= least]
+                found.append(np.stack([np.full(len(others), i), others], 1))
+        pairs = np.concatenate(found)
+        return pa.table({"a": ids[pairs[:, 0]], "b": ids[pairs[:, 1]], "na": n[pairs[:, 0]], "nb": n[pairs[:, 1]]})
+
+    return run
+
+
+def _only(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of `source` whose id is in `wanted`; a filter of fixed size goes before the shuffle of texts."""
+    slot = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(FILTER_BITS))
+    words = wanted.select((slot / 64).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(5, id), {FILTER_BITS}), 64) as int))").alias("bit")).groupBy("word").agg(F.expr("bit_or(bit)").alias("bit")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[words.column("word").to_numpy()] = words.column("bit").to_numpy()
+    shared = source.sparkSession.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool))
+
+    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(["id", "text"]).filter(pa.array(shared.value[batch.column("slot").to_numpy(zero_copy_only=False)]))
+
+    return source.withColumn("slot", slot).mapInArrow(may, "id long, text string").join(wanted, "id", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each doc_id: n_shingles, component_id (smallest reachable doc_id) and kept.
 
@@ -165,62 +223,61 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
         raise ValueError("the bands are laid out for a similarity of 0.8 or more")
     prepare_llm(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null")
-    made = source.mapInArrow(_sketched(words), "id long, n long, mark long, mark2 long, bands array<long>")
+    made = source.mapInArrow(_sketched(words), "id long, n long, mark long, mark2 long, bands array<long>, sketch binary")
     sketched = stored(made, "sketches")
     ids = sketched.groupBy("id").agg(F.max(F.struct("n", "mark", "mark2")).alias("s")).select("id", "s.*")
     classes = stored(ids.where("n > 0").groupBy("n", "mark", "mark2").agg(F.min("id").alias("rep")), "classes")
-    shown = sketched.join(classes.select(F.col("rep").alias("id"), F.col("n"), "mark", "mark2"), ["id", "n", "mark", "mark2"], "left_semi").dropDuplicates(["id"])
+    one_each = sketched.join(classes.select(F.col("rep").alias("id"), "n", "mark", "mark2"), ["id", "n", "mark", "mark2"], "left_semi").dropDuplicates(["id"])
+    shown = stored(one_each.select("id", "n", "bands", "sketch"), "shown")
     banded = shown.select("id", "n", F.explode("bands").alias("key"))
-    full = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = stored(banded.join(full.select("key"), "key", "left_semi"), "buckets")
-    compared = buckets.select("id").distinct()
-    sets = stored(source.join(compared, "id", "left_semi").mapInArrow(_full_sets(words), "id long, members array<long>, bands1 array<long>, bands2 array<long>, bands3 array<long>"), "sets")
-    sets = sets.groupBy("id").agg(F.max_by(F.struct("members", "bands1", "bands2", "bands3"), F.size("members")).alias("s")).select("id", "s.*") if _repeats(sketched) else sets
+    shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
+    buckets = stored(banded.join(shared, "key", "left_semi"), "buckets")
+    short = shown.select("id", "sketch")
+
+    def of_length(pairs: DataFrame) -> DataFrame:
+        return pairs.where((F.col("a") != F.col("b")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)).select("a", "b", "na", "nb").distinct()
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        both = of_length(pairs).join(short.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a").join(short.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
+        return both.mapInArrow(_alike(percent), "a long, b long, na long, nb long")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        near = pairs.where((F.col("a") != F.col("b")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)).select("a", "b", "na", "nb").distinct()
-        one = near.join(sets.select(F.col("id").alias("a"), F.col("members").alias("ma")), "a")
-        two = one.join(sets.select(F.col("id").alias("b"), F.col("members").alias("mb")), "b")
-        common = two.withColumn("common", F.size(F.array_intersect("ma", "mb")).cast("long"))
-        return common.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
-
-    def with_leaders(rows: DataFrame, salt: int) -> DataFrame:
-        order = F.struct(F.xxhash64(F.lit(salt), "id"), "id", "n") if salt else F.struct(F.col("id").alias("h"), "id", "n")
-        leaders = rows.groupBy("key").agg(F.min(order).alias("l")).select("key", F.col("l.id").alias("b"), F.col("l.n").alias("nb"))
+        near = stored(pairs, "pairs")
+        wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
+        sets = _only(source, wanted).mapInArrow(_full_sets(words), "id long, members array<long>")
+        sets = stored(sets.groupBy("id").agg(F.max_by("members", F.size("members")).alias("members")) if repeats else sets, "sets")
+        both = near.join(sets.select(F.col("id").alias("a"), F.col("members").alias("ma")), "a").join(sets.select(F.col("id").alias("b"), F.col("members").alias("mb")), "b")
+        common = both.select("a", "b", "na", "nb", F.size(F.array_intersect("ma", "mb")).cast("long").alias("common"))
+        return stored(common.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b"), "links")
+
+    def with_leaders(rows: DataFrame, order: Column) -> DataFrame:
+        leaders = rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "id", "n")).alias("l")).select("key", F.col("l.id").alias("b"), F.col("l.n").alias("nb"))
         return rows.select("key", F.col("id").alias("a"), F.col("n").alias("na")).join(leaders, "key")
 
-    links = stored(verified(with_leaders(buckets, 0)), "links")
-    components = stored(connected_components(links), "components")
-    open_rows = buckets
-    for fine in ("bands1", "bands2", "bands3", None):
-        named = open_rows.join(components.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        state = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high")
-        unsettled = stored(named.join(state.select("key", "size"), "key"), "unsettled")
-        if unsettled.isEmpty():
+    def unsettled(rows: DataFrame) -> DataFrame:
+        named = rows.join(components.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+        several = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high")
+        return stored(named.join(several.select("key", "size"), "key"), "unsettled")
+
+    repeats = not sketched.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    components = stored(connected_components(verified(alike(with_leaders(buckets, F.col("id"))))), "components")
+    left = unsettled(buckets)
+    for final in (False, True):
+        if left.isEmpty():
             break
-        small = unsettled if fine is None else unsettled.where(F.col("size") <= SMALL_BUCKET)
-        left = small.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        right = small.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        pairs = left.join(right, "key").where((F.col("ca") < F.col("cb")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)).select("a", "b", "na", "nb")
-        more = verified(pairs)
-        if fine is not None:
-            large = unsettled.where(F.col("size") > SMALL_BUCKET).select("key", "id", "n")
-            keys = sets.select("id", fine).join(large.select("id").distinct(), "id", "left_semi")
-            finer = large.join(keys, "id").select("id", "n", F.col("key").alias("outer"), F.explode(fine).alias("inner")).select("id", "n", F.xxhash64("outer", "inner").alias("key")).distinct()
-            sizes = finer.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-            open_rows = stored(finer.join(sizes, "key", "left_semi"), "finer")
-            more = more.union(verified(with_leaders(open_rows, 7)))
-        found = stored(more, "links")
+        if final:
+            blocks = blocks_for(F.col("size"), BLOCK)
+            dealt = left.withColumn("block", F.pmod(F.xxhash64(F.lit(9), "id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            dealt = dealt.select("key", "id", "n", "component", "block", F.least("block", "other").cast("int").alias("one"), F.greatest("block", "other").cast("int").alias("two")).join(short, "id")
+            near = of_length(dealt.groupBy("key", "one", "two").applyInArrow(_block_pairs(percent), "a long, b long, na long, nb long"))
+        else:
+            near = alike(with_leaders(left, F.xxhash64(F.lit(7), "id")))
+        found = verified(near)
         if not found.isEmpty():
-            links = links.union(found)
             components = stored(connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)), "components")
-        if fine is None or open_rows.isEmpty():
-            break
+            left = left if final else unsettled(left.select("key", "id", "n"))
     grouped = classes.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left").select("n", "mark", "mark2", F.coalesce("component", "rep").alias("component"))
     joined = ids.join(grouped, ["n", "mark", "mark2"], "left")
     result = joined.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     return result.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
-
-def _repeats(sketched: DataFrame) -> bool:
-    return not sketched.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()

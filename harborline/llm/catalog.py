@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import language_id, minhash, mixing, sentencepiece, toxicity
-from harborline.llm.common import remainder, table
+from harborline.llm import ann, chat, forest, language_id, lattice, minhash, mixing, sentencepiece, token_files, toxicity
+from harborline.llm.common import remainder, stored, table
 from harborline.llm.stages import TARGETS
+from harborline.settings import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +33,38 @@ found AS (SELECT a AS id, min(b) AS component FROM reach GROUP BY a)
 """
 
 
+@query(
+    "op1_nearest_neighbours",
+    """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND list_count(embedding) = len(embedding) AND isfinite(list_sum(CAST(embedding AS DOUBLE[]))) AND list_max(embedding) <> list_min(embedding)),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+)
+def op1_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest by inner product of every vector whose id is divisible by 20, among all."""
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query(
+    "op2_embedding_near_duplicates",
+    f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND list_count(embedding) = len(embedding) AND isfinite(list_sum(CAST(embedding AS DOUBLE[]))) AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0),
+links AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id <> q.vec_id AND list_cosine_similarity(p.e, q.e) >= 0.98),
+{_COMPONENTS},
+counted AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id, vec_id = coalesce(component, vec_id) AS kept
+FROM embeddings LEFT JOIN found ON vec_id = found.id LEFT JOIN counted ON vec_id = counted.id
+""",
+)
+def op2_embedding_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and classes of all vectors of one label with a cosine of 0.98 or more."""
+    return forest.near_duplicates(table(spark, folder, "embeddings"), 0.98)
+
+
 @query("op3_mixing_to_targets")
 def op3_mixing_to_targets(spark: SparkSession, folder: str) -> DataFrame:
     """Rates of all documents that give the quality labels their target shares of the tokens."""
@@ -86,3 +119,48 @@ def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     made = sentencepiece.encode(table(spark, folder, "documents"), path, ["doc_id", "text"])
     back = sentencepiece.decode(made.select("row.doc_id", "row.text", "made.ids", "made.score"), path, into="decoded")
     return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"), "score", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+
+
+@query(
+    "op7_chat_formatting",
+    """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+  SELECT *, length(replace(replace(role, '&', '&amp;'), '<', '&lt;')) + length(replace(replace(text, '&', '&amp;'), '<', '&lt;')) + 13 AS size FROM rows),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss, sum(size) AS formatted_chars
+  FROM sized GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM joined
+""",
+)
+def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one with control strings in its texts, formatted and read back."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    formatted = chat.format_trees(stored(chat.conversation_messages(rows.union(hard)), "messages"))
+    back = formatted.withColumn("back", chat.turns_of(F.col("formatted"))).withColumn("learned", chat.learned_text(F.col("formatted"), F.col("loss")))
+    turns = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        F.col("tree_id").alias("conv_id"), F.size("back").cast("long").alias("n_turns"), F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"), F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query("op9_token_files")
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as token files, read back: start, number and checksum of each document's ids."""
+    path = work_path(spark, "token-files")
+    token_files.write(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op10_lattice_scores")
+def op10_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probabilities of all documents, learned from those whose crc32 modulo 7 is not 2."""
+    docs = table(spark, folder, "documents")
+    scored = lattice.score(docs, remainder(F.col("doc_id"), 7) != 2, public_tokenizers.path("piece_bpe_32k.model"))
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

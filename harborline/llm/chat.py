@@ -49,6 +49,7 @@ def paths(messages: DataFrame) -> DataFrame:
     found = leaves.select("tree_id", "leaf", F.col("leaf").alias("msg_id"), F.lit(0).cast("long").alias("depth"))
     for power in reversed(range(len(levels))):
         up = levels[power]
+        found = stored(found, "paths")
         found = found.union(found.join(up, ["tree_id", "msg_id"]).select("tree_id", "leaf", F.col("up").alias("msg_id"), (F.col("depth") + (1 << power)).alias("depth")))
     return found
 

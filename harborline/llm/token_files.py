@@ -19,6 +19,7 @@ import hashlib
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,20 +59,25 @@ class Encoder:
         for at in range(0, len(units), 4096):
             part = units[at : at + 4096]
             for unit, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                memo[unit] = np.array(encoding.ids, "<u4").tobytes()
+                memo[unit] = array("I", encoding.ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
-        if len(self.memo) > 700_000:
+        if len(self.memo) > 1_000_000:
             self.memo.clear()
-        memo = self.memo
+        memo, look = self.memo, self.memo.get
         cut = [[] if not t else None if _ODD.search(t) else _UNIT.findall(t) for t in texts]
-        fresh = set()
-        for units in cut:
-            if units:
-                fresh.update(units)
-        self._new([u for u in fresh if u not in memo])
-        out = [b"".join([memo[u] for u in units]) if units is not None else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() for units, text in zip(cut, texts)]
+        parts = [list(map(look, units)) if units else [] for units in cut]
+        fresh = {u for units, got in zip(cut, parts) if None in got for u, g in zip(units, got) if g is None}
+        self._new(list(fresh))
+        out = []
+        for text, units, got in zip(texts, cut, parts):
+            if units is None:
+                out.append(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
+                continue
+            if None in got:
+                got = [memo[u] if g is None else g for u, g in zip(units, got)]
+            out.append(b"".join(got))
         for unit in [u for u in fresh if len(u) > 64]:
             del memo[unit]
         return out

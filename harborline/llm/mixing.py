@@ -72,9 +72,11 @@ def fit_domains(docs: DataFrame, labels: DataFrame, column: str = "quality", row
     """
     spark = prepare_llm(docs.sparkSession)
     label = labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.col(column).cast("string")).alias("domain"))
-    total = docs.select("doc_id").join(label, "doc_id").count()
-    share = min(1.0, rows / max(1, total))
-    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1_000_003)) < share * 1_000_003).join(label, "doc_id").select("text", "domain")
+    there = docs.select("doc_id").join(label, "doc_id").distinct()
+    share = min(1.0, rows / max(1, there.count()))
+    # about `rows` ids at most, so they may go to every task; no text is shuffled
+    ids = there.where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1_000_003)) < share * 1_000_003)
+    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").select("text", "domain")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

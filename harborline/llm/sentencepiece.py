@@ -153,7 +153,7 @@ class Vocabulary:
     def encode(self, text: str) -> tuple[list[int], int]:
         """Ids and score of a text with the leading space already put before it."""
         memo, ids, score = self.memo, [], 0
-        if len(memo) > 400_000:
+        if len(memo) > 200_000:
             memo.clear()
         for unit in self.units.findall(text):
             found = memo.get(unit)

@@ -102,13 +102,15 @@ def windows(unit: str) -> list[str]:
     return [unit[at : at + WINDOW] for at in range(0, len(unit) - WINDOW // 2, WINDOW // 2)]
 
 
+_memos: dict[tuple, dict[str, np.ndarray | None]] = {}
+
+
 @dataclass
 class Landmarks:
-    """The landmark strings with what the kernel needs of them, and a memo of units seen."""
+    """The landmark strings with what the kernel needs of them."""
 
     texts: list[str]
     own: np.ndarray = field(init=False)
-    memo: dict[str, np.ndarray | None] = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         self.own = np.sqrt(subsequence_kernel(self.texts, self.texts))
@@ -119,16 +121,26 @@ class Landmarks:
         return {"texts": self.texts}
 
     def __setstate__(self, state):
-        self.texts, self.memo = state["texts"], {}
+        self.texts = state["texts"]
         self.__post_init__()
 
+    @property
+    def memo(self) -> dict[str, np.ndarray | None]:
+        """Units seen by this process; one memo for all copies of the landmarks, and none for earlier ones."""
+        mine = tuple(self.texts)
+        if mine not in _memos:
+            _memos.clear()
+            _memos[mine] = {}
+        return _memos[mine]
+
     def learn(self, units: list[str]) -> None:
         """Put the values of new units into the memo; None where all are below the floor."""
-        if len(self.memo) > 1_000_000:
-            self.memo.clear()
+        memo = self.memo
+        if len(memo) > 500_000:
+            memo.clear()
         parts, owner = [], []
         for i, unit in enumerate(units):
-            self.memo[unit] = None
+            memo[unit] = None
             for w in windows(unit):
                 parts.append(w)
                 owner.append(i)
@@ -156,9 +168,9 @@ class Landmarks:
         scaled[close] = values[close] / np.maximum(1e-12, selves[back[close]] * self.own[mark[close]])
         for i in np.flatnonzero(scaled >= FLOOR):
             unit = units[owner[which[i]]]
-            row = self.memo[unit]
+            row = memo[unit]
             if row is None:
-                row = self.memo[unit] = np.zeros(len(self.texts), np.float32)
+                row = memo[unit] = np.zeros(len(self.texts), np.float32)
             row[mark[i]] = max(row[mark[i]], scaled[i])
 
     def sentences(self, texts: list[str | None]) -> list[list[np.ndarray]]:
@@ -171,7 +183,6 @@ class Landmarks:
         fresh.update("".join(s.split()) for runs in spaced for s in runs)
         held = {u: memo[u] for u in fresh if u in memo}
         self.learn([u for u in fresh if u not in held])
-        memo = self.memo
         memo.update(held)
         out = []
         for text, runs, some in zip(lowered, spaced, words):
@@ -281,13 +292,15 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = 1500, landmarks: int = 4
     """
     spark = prepare_llm(docs.sparkSession)
     label = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null").join(label, "doc_id")
-    sizes = {r["toxic"]: r["n"] for r in docs.select("doc_id", F.col("text").isNotNull().alias("there")).where("there").join(label, "doc_id").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    there = docs.select("doc_id").where(F.col("text").isNotNull()).join(label, "doc_id").select("doc_id", "toxic")
+    sizes = {r["toxic"]: r["n"] for r in there.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     nothing = Model(Landmarks([]), np.zeros(0), 0.0, 1.0, -500.0)
     if not sizes.get(0) or not sizes.get(1):
         return nothing
     share = [min(1.0, 2 * each / sizes[0]), min(1.0, each / sizes[1])]
-    chosen = known.where(F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1_000_003)) < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * 1_000_003)
+    ids = there.distinct().where(F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1_000_003)) < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * 1_000_003)
+    # about 3 * each ids at most, so they may go to every task; no text is shuffled
+    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null").join(F.broadcast(ids), "doc_id")
     n = {r["toxic"]: r["n"] for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return nothing

@@ -286,8 +286,8 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = 1500, landmarks: int = 4
     About `each` toxic and twice as many other documents are read at most,
     chosen by a hash of doc_id, whole texts. The driver gets the best few
     hundred candidate strings and the values of sentences of these documents.
-    A string becomes a landmark if its share of the toxic documents is six
-    standard errors above its share of the others. Without such strings, or
+    A string becomes a landmark if its share of the toxic documents is three (with
+    few of them) to six standard errors above its share of the others. Without such strings, or
     without toxic or other examples, every text scores 0.
     """
     spark = prepare_llm(docs.sparkSession)
@@ -306,7 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = 1500, landmarks: int = 4
         return nothing
     counted = chosen.select("text", "toxic").mapInArrow(_candidates, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     telling = counted.where(f"toxic >= {max(2, n[1] // 500)} and toxic / {n[1]} > 4 * clean / {n[0]}").withColumn("z", F.expr(f"(toxic / {n[1]} - clean / {n[0]}) / sqrt(toxic / {float(n[1]) ** 2} + (clean + 1) / {float(n[0]) ** 2})"))
-    best = [r["word"] for r in telling.where("z >= 6").orderBy(F.desc("z"), F.desc(F.length("word")), "word").limit(1500).collect()]
+    best = [r["word"] for r in telling.where(f"z >= {min(6.0, 3 + n[1] / 200)}").orderBy(F.desc("z"), F.desc(F.length("word")), "word").limit(1500).collect()]
     marks = Landmarks(_choose(best, landmarks))
     if not marks.texts:
         return nothing

@@ -139,19 +139,20 @@ def first_layout(text: Column, layouts: list[str]) -> Column:
 
 
 def any_timestamp(value: Column) -> Column:
-    """Timestamp from spreadsheet serials, unix times, ISO or common layouts."""
+    """Timestamp from spreadsheet serials, unix times, ISO or common layouts; numbers beyond year 9999 and NaN give null."""
     text = F.trim(value)
     number = text.try_cast("double")
+    days = F.when(number.between(-719162, 2932896), number)  # years 1 to 9999
     serial = F.timestamp_add(
-        "SECOND", (number * 86400).cast("long"), F.lit(SPREADSHEET_EPOCH).cast("timestamp_ntz")
+        "SECOND", (days * 86400).cast("long"), F.lit(SPREADSHEET_EPOCH).cast("timestamp_ntz")
     )
     day_count = F.timestamp_add(
-        "SECOND", (number * 86400).cast("long"), F.lit("1970-01-01").cast("timestamp_ntz")
+        "SECOND", (days * 86400).cast("long"), F.lit("1970-01-01").cast("timestamp_ntz")
     )
     numeric = (
         F.when(number.between(1, SPREADSHEET_MAX), serial)
-        .when(number > UNIX_MILLIS_MIN, F.timestamp_seconds(F.floor(number / 1000)).cast("timestamp_ntz"))
-        .when(number > UNIX_SECONDS_MIN, F.timestamp_seconds(F.floor(number)).cast("timestamp_ntz"))
+        .when(number > UNIX_MILLIS_MIN, F.timestamp_seconds(F.floor(F.when(number < 253402300800000, number) / 1000)).cast("timestamp_ntz"))
+        .when(number > UNIX_SECONDS_MIN, F.timestamp_seconds(F.floor(F.when(number < 253402300800, number))).cast("timestamp_ntz"))
         .otherwise(day_count)
     )
     iso = F.when(

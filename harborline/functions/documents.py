@@ -40,7 +40,8 @@ def as_json(value: Column) -> Column:
 def scalar_at(document: Column, path: str) -> Column:
     """Scalar at a JSON path; objects and arrays give null."""
     value = F.get_json_object(document, path)
-    return F.when(~value.rlike(r"^\s*[\[{]"), value)
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(document), path, "variant"))
+    return F.when(~value.rlike(r"^\s*[\[{]"), value).when(kind == "STRING", value)
 
 
 def elements(document: Column, element_type: str = "string") -> Column:
@@ -141,11 +142,14 @@ def value_if(attributes: Column, condition_key: str, value_key: str, expected: s
 
 
 def strip_prefix(attributes: Column, prefix: str) -> Column:
-    """Attributes whose key has the prefix, with the prefix taken off."""
+    """Attributes whose key has the prefix, with the prefix taken off; of keys that become equal the first in order stays."""
     chosen = F.map_filter(attributes, lambda k, _: k.startswith(prefix))
-    return F.transform_keys(
-        chosen, lambda k, _: F.regexp_replace(F.substring(k, F.lit(len(prefix) + 1), F.length(k)), "^_+", "")
+    entries = F.transform(
+        F.map_entries(chosen),
+        lambda e: F.struct(F.regexp_replace(F.substring(e["key"], F.lit(len(prefix) + 1), F.length(e["key"])), "^_+", "").alias("key"), e["value"].alias("value")),
     )
+    keys = F.transform(entries, lambda e: e["key"])
+    return F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == i + 1))
 
 
 # --- merging two documents -------------------------------------------------
@@ -324,7 +328,13 @@ def primary_address(address: Column, validity: Column, normalised: Column, hashe
 
 # --- formatted fragments ---------------------------------------------------
 
+def json_text(text: Column) -> Column:
+    """A text as a quoted, escaped JSON string; null stays null."""
+    quoted = F.to_json(F.array(text))
+    return F.when(text.isNotNull(), F.substring(quoted, F.lit(2), F.length(quoted) - 2))
+
+
 def named_counts(name: Column, counts: dict[str, Column]) -> Column:
     """One ``"name":{...}`` fragment of a JSON object."""
     body = as_json(F.struct(*[c.alias(n) for n, c in counts.items()]))
-    return F.concat(F.lit('"'), name, F.lit('":'), body)
+    return F.concat(json_text(name), F.lit(":"), body)

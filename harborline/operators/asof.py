@@ -31,9 +31,11 @@ def asof_join(
 ) -> DataFrame:
     """Attach ``values`` of the last right row with ``right_time <= left_time``.
 
-    Right rows must be unique per key and time. ``bucket`` is any unit that
-    ``date_trunc`` knows; smaller buckets spread a busy key further.
+    Right rows must be unique per key and time. Null keys and null times match
+    nothing. ``bucket`` is any unit that ``date_trunc`` knows; smaller buckets
+    spread a busy key further.
     """
+    right = right.where(F.col(right_time).isNotNull()).dropna(subset=on)
     slot = lambda c: F.date_trunc(bucket, F.col(c).cast("timestamp_ntz"))
     payload = F.struct(*[F.col(v) for v in values])
     facts = left.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.functions.documents import named_counts
+from harborline.functions.documents import json_text, named_counts
 from harborline.functions.text import after_first
 from harborline.operators import merge as M
 from harborline.operators.aggregates import count_or_status, recent_or_all
@@ -61,7 +61,7 @@ def opted_out_brands(requests: DataFrame, senders: DataFrame) -> DataFrame:
         .select("contact_id", "brand_name")
         .distinct()
     )
-    quoted = F.concat(F.lit('"'), F.col("brand_name"), F.lit('"'))
+    quoted = json_text(F.col("brand_name"))
     return once.groupBy("contact_id").agg(
         F.concat(
             F.lit('{"optOut_brands": ['), F.array_join(F.array_sort(F.collect_list(quoted)), ", "), F.lit("]}")

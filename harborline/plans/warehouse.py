@@ -147,8 +147,10 @@ def daily_user(fact: DataFrame, users: DataFrame, day: str | None = None) -> Dat
 def _stored(like: DataFrame, path: str) -> DataFrame | None:
     """The table at ``path``, or nothing before the first load."""
     try:
-        return like.sparkSession.read.parquet(path).select(*like.columns)
-    except AnalysisException:
+        return like.sparkSession.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
+from harborline.settings import work_path
+
 
 def replace_partitions(df: DataFrame, path: str, by: list[str], sort: list[str] | None = None) -> None:
     """Overwrite only the partitions that occur in ``df``.
@@ -24,22 +27,46 @@ def replace_partitions(df: DataFrame, path: str, by: list[str], sort: list[str]
     )
 
 
+def _existing(reader: DataFrameReader, path: str) -> DataFrame | None:
+    """The table at a path, or nothing if there is none yet."""
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def move_day_to_cold(spark: SparkSession, hot_path: str, cold_path: str, day: str, stamp: str = "updated_at") -> int:
     """Copy one day from hot to cold storage, verify it, then empty it there.
 
-    The hot partition is overwritten by nothing only after the row counts
-    agree; running the move again is harmless.
+    Rows that cold already holds stay, so late rows can follow in a second
+    move, and a repeated move adds nothing. Only the files that were read are
+    deleted, and only after the row counts agree; what lands meanwhile stays hot.
     """
-    day_rows = spark.read.parquet(hot_path).where(F.col("day") == F.lit(day).cast("date"))
-    moved = day_rows.count()
+    hot = _existing(spark.read.option("basePath", hot_path), f"{hot_path}/day={day}")
+    moved = hot.count() if hot is not None else 0
     if moved == 0:
         return 0
-    replace_partitions(day_rows, cold_path, ["day"], [stamp])
+    files = hot.inputFiles()
+    cold = _existing(spark.read, cold_path)
+    if cold is None:
+        whole = hot
+    else:
+        before = cold.where(F.col("day") == F.lit(day).cast("date"))
+        same = hot.select(*before.columns)
+        # the day is read and replaced in one place: write it aside first
+        aside = work_path(spark, "cold")
+        before.unionByName(same.exceptAll(before)).write.parquet(aside)
+        whole = spark.read.parquet(aside)
+    expected = whole.count()
+    replace_partitions(whole, cold_path, ["day"], [stamp])
     stored = spark.read.parquet(cold_path).where(F.col("day") == F.lit(day).cast("date")).count()
-    if stored != moved:
-        raise ValueError(f"{stored} of {moved} rows of {day} reached cold storage")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{hot_path}/day={day}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    if stored != expected:
+        raise ValueError(f"{stored} of {expected} rows of {day} reached cold storage")
+    for name in files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
     return moved
 
 

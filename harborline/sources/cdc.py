@@ -75,12 +75,12 @@ TABLES: dict[str, Table] = {
 
 
 def bytes_to_decimal(raw: Column, scale: int = 2) -> Column:
-    """Big-endian two's-complement bytes to a decimal (up to eight bytes)."""
+    """Big-endian two's-complement bytes to a decimal; more than eight bytes give null, never a wrong number."""
     digits = F.hex(raw)
     negative = F.conv(F.substring(digits, 1, 1), 16, 10).cast("int") >= 8
     extended = F.lpad(digits, 16, F.when(negative, "F").otherwise("0"))
     signed = F.conv(extended, 16, -10).cast("decimal(20,0)")
-    return (signed / F.lit(10**scale)).cast(f"decimal(18,{scale})")
+    return F.when(F.octet_length(raw) <= 8, (signed / F.lit(10**scale)).cast(f"decimal(18,{scale})"))
 
 
 def micros_to_timestamp(value: Column) -> Column:

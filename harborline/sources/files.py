@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,32 +31,47 @@ def list_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def read_vendor_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Every column as text, so that identifiers keep their digits."""
-    return (
+def _by_header(spark: SparkSession, paths: str | list[str], splittable: bool) -> DataFrame:
+    """CSV files as text columns, each file read under its own header line.
+
+    Spark applies the first file's header to all files by position, so files
+    are grouped by their header, and the groups are joined by column name.
+    """
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at"))
+    headers = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for row in headers.orderBy("path").collect():
+        groups.setdefault(row["header"].rstrip("\r"), []).append(unquote(row["path"]))
+    reader = (
         spark.read.option("header", "true")
         .option("inferSchema", "false")
-        .option("multiLine", "true")
+        .option("multiLine", str(not splittable).lower())
         .option("escape", '"')
-        .csv(paths)
+        .option("mode", "PERMISSIVE")
     )
+    if len(groups) < 2:
+        return reader.csv(paths)
+    whole = None
+    for files in groups.values():
+        part = reader.csv(files)
+        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    return whole
+
+
+def read_vendor_csv(spark: SparkSession, paths: str | list[str], splittable: bool = False) -> DataFrame:
+    """Every column as text, so that identifiers keep their digits; columns of all files by name."""
+    return _by_header(spark, paths, splittable)
 
 
 def load_csv(spark: SparkSession, paths: str | list[str], schema: str | T.StructType, splittable: bool = False) -> DataFrame:
     """CSV under an explicit schema.
 
-    Columns are matched by header name, surplus ones are ignored, short rows
+    Columns are matched by each file's own header, surplus ones are ignored, short rows
     are filled with null. Files without quoted line breaks may be read as
     ``splittable``, which lets one big file use many tasks.
     """
     wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    raw = (
-        spark.read.option("header", "true")
-        .option("multiLine", str(not splittable).lower())
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(paths)
-    )
+    raw = _by_header(spark, paths, splittable)
     return raw.select(
         *[
             (F.col(f.name).try_cast(f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)

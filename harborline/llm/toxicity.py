@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -102,12 +103,26 @@ def windows(unit: str) -> list[str]:
     return [unit[at : at + WINDOW] for at in range(0, len(unit) - WINDOW // 2, WINDOW // 2)]
 
 
-_memos: dict[tuple, dict[str, np.ndarray | None]] = {}
+_memos: dict[tuple, tuple[set[str], dict[str, np.ndarray]]] = {}
+_triples: dict[int, tuple[np.ndarray, ...]] = {}
+
+
+def _triples_of(n: int) -> tuple[np.ndarray, ...]:
+    """Places i < j < k of the subsequences of a string of n characters, and the weight of each."""
+    if n not in _triples:
+        i, j, k = np.array(list(combinations(range(n), LENGTH))).T
+        _triples[n] = i, j, k, DECAY ** (k - i + 1.0)
+    return _triples[n]
 
 
 @dataclass
 class Landmarks:
-    """The landmark strings with what the kernel needs of them."""
+    """The landmark strings with what the kernel needs of them.
+
+    The kernel is an inner product over subsequences, so the landmarks' side of it is a fixed sparse
+    table (subsequence, landmark, weight); a string is compared with all landmarks in one look-up
+    of its own subsequences.
+    """
 
     texts: list[str]
     own: np.ndarray = field(init=False)
@@ -116,6 +131,23 @@ class Landmarks:
         self.own = np.sqrt(subsequence_kernel(self.texts, self.texts))
         self.masks = _letters(self.texts) if self.texts else np.zeros(0, np.uint64)
         self.need = np.array([max(2, int(np.ceil(GATE * int(m).bit_count()))) for m in self.masks], np.int64)
+        letters = {c: k for k, c in enumerate(sorted({c for t in self.texts for c in t if c.isalnum()}), 1)}
+        self.letter = np.zeros(0x110000, np.int32)  # 0: in no landmark
+        self.letter[[ord(c) for c in letters]] = list(letters.values())
+        weights: dict[tuple, Counter] = {}
+        for mark, text in enumerate(self.texts):
+            for at in combinations([k for k, c in enumerate(text) if c.isalnum()], LENGTH):
+                weights.setdefault(tuple(letters[text[k]] for k in at), Counter())[mark] += DECAY ** (at[-1] - at[0] + 1)
+        pairs = {p: k for k, p in enumerate(sorted({t[:2] for t in weights}), 1)}
+        self.pair = np.zeros((len(letters) + 1, len(letters) + 1), np.int32)
+        self.triple = np.zeros((len(pairs) + 1, len(letters) + 1), np.int32)
+        for row, (one, two, three) in enumerate(weights, 1):
+            self.pair[one, two] = pairs[one, two]
+            self.triple[pairs[one, two], three] = row
+        self.count = np.array([0, *map(len, weights.values())])
+        self.first = np.cumsum(self.count) - self.count
+        self.mark = np.array([m for found in weights.values() for m in found], np.int64)
+        self.weight = np.array([w for found in weights.values() for w in found.values()], float)
 
     def __getstate__(self):
         return {"texts": self.texts}
@@ -125,69 +157,81 @@ class Landmarks:
         self.__post_init__()
 
     @property
-    def memo(self) -> dict[str, np.ndarray | None]:
-        """Units seen by this process; one memo for all copies of the landmarks, and none for earlier ones."""
+    def memo(self) -> tuple[set[str], dict[str, np.ndarray]]:
+        """Units seen by this process, and the values of those above the floor; one memo for all copies of the landmarks."""
         mine = tuple(self.texts)
         if mine not in _memos:
             _memos.clear()
-            _memos[mine] = {}
+            _memos[mine] = set(), {}
         return _memos[mine]
 
+    def kernels(self, texts: list[str]) -> np.ndarray:
+        """Kernel values of texts (of at most WINDOW characters) with all landmarks, not normalised."""
+        out = np.zeros((len(texts), len(self.texts)))
+        lengths = np.array([len(t) for t in texts])
+        for n in np.unique(lengths[lengths >= LENGTH]):
+            i, j, k, weight = _triples_of(int(n))
+            same = np.flatnonzero(lengths == n)
+            step = max(1, 200_000 // len(i))
+            for at in range(0, len(same), step):
+                some = same[at : at + step]
+                points = np.frombuffer("".join([texts[m] for m in some]).encode("utf-32-le", "surrogatepass"), np.uint32)
+                letter = self.letter[points].reshape(len(some), n)
+                row = self.triple[self.pair[letter[:, i], letter[:, j]], letter[:, k]]
+                text, place = np.nonzero(row)
+                row = row[text, place]
+                many = self.count[row]
+                entry = np.arange(many.sum()) + np.repeat(self.first[row] - (np.cumsum(many) - many), many)
+                cell = np.repeat(text, many) * len(self.texts) + self.mark[entry]
+                out[some] = np.bincount(cell, np.repeat(weight[place], many) * self.weight[entry], out[some].size).reshape(len(some), -1)
+        return out
+
     def learn(self, units: list[str]) -> None:
-        """Put the values of new units into the memo; None where all are below the floor."""
-        memo = self.memo
-        if len(memo) > 500_000:
-            memo.clear()
+        """Put new units into the memo, with their values where one is above the floor."""
+        seen, rows = self.memo
+        seen.update(units)
         parts, owner = [], []
-        for i, unit in enumerate(units):
-            memo[unit] = None
+        for unit in units:
             for w in windows(unit):
                 parts.append(w)
-                owner.append(i)
+                owner.append(unit)
         if not parts or not self.texts:
             return
-        masks = _letters(parts)
-        which, mark = np.nonzero(np.bitwise_count(masks[:, None] & self.masks) >= self.need)
+        passing = np.bitwise_count(_letters(parts)[:, None] & self.masks) >= self.need
+        which = np.flatnonzero(passing.any(1))
         if not len(which):
             return
-        lengths = np.array([len(p) for p in parts])[which]
-        values = np.zeros(len(which))
-        for low, high in ((0, 8), (8, 12), (12, 16), (16, WINDOW)):
-            some = np.flatnonzero((lengths > low) & (lengths <= high))
-            for at in range(0, len(some), 4000):
-                at = some[at : at + 4000]
-                values[at] = subsequence_kernel([parts[i] for i in which[at]], [self.texts[j] for j in mark[at]])
-        rows, back = np.unique(which, return_inverse=True)
-        close = np.flatnonzero(values >= FLOOR * self.own[mark] * 0.01)
-        selves = np.zeros(len(rows))
-        needed = np.unique(back[close])
-        for at in range(0, len(needed), 4000):
-            chosen = [parts[rows[i]] for i in needed[at : at + 4000]]
-            selves[needed[at : at + 4000]] = np.sqrt(subsequence_kernel(chosen, chosen))
-        scaled = np.zeros(len(which))
-        scaled[close] = values[close] / np.maximum(1e-12, selves[back[close]] * self.own[mark[close]])
-        for i in np.flatnonzero(scaled >= FLOOR):
-            unit = units[owner[which[i]]]
-            row = memo[unit]
-            if row is None:
-                row = memo[unit] = np.zeros(len(self.texts), np.float32)
-            row[mark[i]] = max(row[mark[i]], scaled[i])
+        texts = [parts[i] for i in which]
+        values = np.where(passing[which], self.kernels(texts), 0.0)
+        # a kernel with itself is at least the sum of the squared weights of its subsequences
+        lowest = [0.01] * LENGTH + [np.sqrt((_triples_of(n)[3] ** 2).sum()) * (1 - 1e-9) for n in range(LENGTH, WINDOW + 1)]
+        least = np.array([lowest[len(t)] if t.isalnum() else 0.01 for t in texts])
+        close = np.flatnonzero((values >= FLOOR * least[:, None] * self.own).any(1))
+        for at in range(0, len(close), 4000):
+            some = close[at : at + 4000]
+            chosen = [texts[i] for i in some]
+            selves = np.sqrt(subsequence_kernel(chosen, chosen))
+            scaled = values[some] / np.maximum(1e-12, selves[:, None] * self.own)
+            scaled[scaled < FLOOR] = 0
+            for i in np.flatnonzero(scaled.any(1)):
+                unit = owner[which[some[i]]]
+                row = scaled[i].astype(np.float32)
+                rows[unit] = np.maximum(rows[unit], row) if unit in rows else row
 
     def sentences(self, texts: list[str | None]) -> list[list[np.ndarray]]:
         """For each text the values of its sentences that have any above the floor."""
-        memo, lowered, fresh = self.memo, [(t or "").lower() for t in texts], set()
+        (seen, memo), lowered = self.memo, [(t or "").lower() for t in texts]
+        if len(seen) > 500_000:
+            seen.clear()
+            memo.clear()
         spaced = [_SPACED.findall(t) for t in lowered]
         words = [set(t.split()) for t in lowered]
-        for w in words:
-            fresh.update(w)
-        fresh.update("".join(s.split()) for runs in spaced for s in runs)
-        held = {u: memo[u] for u in fresh if u in memo}
-        self.learn([u for u in fresh if u not in held])
-        memo.update(held)
+        fresh = set().union(*words, ("".join(s.split()) for runs in spaced for s in runs))
+        self.learn(list(fresh - seen))
         out = []
         for text, runs, some in zip(lowered, spaced, words):
-            hits = {w for w in some if memo[w] is not None}
-            close = {r for r in runs if memo["".join(r.split())] is not None}
+            hits = memo.keys() & some
+            close = {r for r in runs if "".join(r.split()) in memo}
             found = []
             if hits or close:
                 for sentence in _SENTENCE.split(text):

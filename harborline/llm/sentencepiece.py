@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +75,8 @@ class Vocabulary:
         #: Units between forced boundaries; without a safe place the whole text is one unit.
         cut = r" *[^ \n]+| +|\n" if newline else r" *[^ ]+| +"
         self.units = re.compile(r"(?s).+" if inner else cut)
-        self.memo: dict[str, tuple[list[int], int]] = {}
+        self.memo: dict[str, list[int]] = {}
+        self.memo_score: dict[str, int] = {}
         #: Every beginning of a piece, with the score if it is a piece itself.
         self.prefixes: dict[str, int | None] = {p[:k]: None for p in self.pieces for k in range(1, len(p))} | self.score
         self.reach: dict[str, int] = {}
@@ -152,17 +154,17 @@ class Vocabulary:
 
     def encode(self, text: str) -> tuple[list[int], int]:
         """Ids and score of a text with the leading space already put before it."""
-        memo, ids, score = self.memo, [], 0
-        if len(memo) > 200_000:
-            memo.clear()
-        for unit in self.units.findall(text):
-            found = memo.get(unit)
-            if found is None:
-                found = self.unit(unit)
-                if len(unit) <= 64:
-                    memo[unit] = found
-            ids += found[0]
-            score += found[1]
+        if len(self.memo) > 200_000:
+            self.memo.clear()
+            self.memo_score.clear()
+        units = self.units.findall(text)
+        fresh = set(units).difference(self.memo)
+        for unit in fresh:
+            self.memo[unit], self.memo_score[unit] = self.unit(unit)
+        ids, score = list(chain.from_iterable(map(self.memo.__getitem__, units))), sum(map(self.memo_score.__getitem__, units))
+        for unit in fresh:
+            if len(unit) > 64:
+                del self.memo[unit], self.memo_score[unit]
         return ids, score
 
     def decode(self, ids: list[int]) -> str:
@@ -180,15 +182,28 @@ def vocabulary(path: str) -> Vocabulary:
     return _vocabularies[path]
 
 
+def forced(vocab: Vocabulary, text: str, stop: int) -> tuple[int, int]:
+    """The first and the last forced boundary of a chunk, behind the states at its start; (0, 0) if there aren't two."""
+    cuts = [m.start() for m in vocab.units.finditer(text, 0, stop + 1) if vocab.longest <= m.start() < stop]
+    return (cuts[0], cuts[-1]) if len(cuts) >= 2 else (0, 0)
+
+
+def walk(back: list[int], at: int) -> list[tuple[int, int]]:
+    """The pieces (from, to) of the best path to a place, back to where it began."""
+    parts = []
+    while 0 <= at < len(back) and back[at] >= 0:
+        parts.append((back[at], at))
+        at = back[at]
+    return parts[::-1]
+
+
 def transfer(vocab: Vocabulary, text: str, stop: int) -> np.ndarray:
     """Max-plus matrix of a chunk: from place i at its start to place j behind its end (place `stop` of the text)."""
     states = vocab.longest
     out = np.full((states, states), NONE, np.int64)
-    cuts = [m.start() for m in vocab.units.finditer(text) if states <= m.start() < stop]
-    cuts = cuts if len(cuts) >= 2 else []
-    if cuts:  # forced boundaries: entry side, the middle as one number, exit side
-        first, last = cuts[0], cuts[-1]
-        middle = sum((vocab.memo.get(u) or vocab.unit(u))[1] for u in vocab.units.findall(text[first:last]))
+    first, last = forced(vocab, text, stop)
+    if first < last:  # entry side, the middle as one number, exit side
+        middle = vocab.encode(text[first:last])[1]
         into = np.array([vocab.forward(text[:first], [NONE] * i + [0], first)[0][first] for i in range(states)])
         away = vocab.forward(text[last:], [0], stop - last)[0]
         away = np.array([away[stop - last + j] if stop - last + j < len(away) else NONE for j in range(states)])
@@ -246,7 +261,7 @@ def _giant(keyed: DataFrame, path: str, size: int) -> DataFrame:
         return pa.table({"key": table.column("key"), "no": table.column("no"), "start": pa.array(rows, pa.list_(pa.int64())), "total": pa.array([int(now[0, 0])] * len(rows), pa.int64())})
 
     starts = chunks.mapInArrow(matrices, "key long, no int, matrix array<long>").groupBy("key").applyInArrow(prefix, "key long, no int, start array<long>, total long")
-    started = stored(chunks.join(starts, ["key", "no"]), "starts")
+    started = chunks.join(stored(starts, "starts"), ["key", "no"])
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each state at a chunk's end the state at its start that the best path came from."""
@@ -254,12 +269,16 @@ def _giant(keyed: DataFrame, path: str, size: int) -> DataFrame:
         for batch in batches:
             rows = []
             for start, stop, text in zip(*(batch.column(c).to_pylist() for c in ("start", "stop", "text"))):
-                best, back = vocab.forward(text, start, stop)
+                first, last = forced(vocab, text, stop)
+                if first < last:  # every path runs through the first boundary
+                    parts = walk(vocab.forward(text[:first], start, first)[1], first)
+                    rows.append([parts[0][0] if parts else -1] * vocab.longest)
+                    continue
+                back = vocab.forward(text, start, stop)[1]
                 row = []
-                for j in range(vocab.longest):
-                    at = stop + j
-                    while 0 <= at < len(back) and back[at] >= 0 and not (at < vocab.longest and best[at] == start[at] and back[at] < 0):
-                        at = back[at]
+                for at in range(stop, stop + vocab.longest):
+                    parts = walk(back, at)
+                    at = parts[0][0] if parts else at
                     row.append(at if at < vocab.longest else -1)
                 rows.append(row)
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("no"), pa.array(rows, pa.list_(pa.int32()))], names=["key", "no", "entry"])
@@ -280,12 +299,12 @@ def _giant(keyed: DataFrame, path: str, size: int) -> DataFrame:
         for batch in batches:
             rows = []
             for start, stop, text, leave in zip(*(batch.column(c).to_pylist() for c in ("start", "stop", "text", "leave"))):
-                _, back = vocab.forward(text, start, stop)
-                at, parts = stop + leave, []
-                while back[at] >= 0:
-                    parts.append((back[at], at))
-                    at = back[at]
-                rows.append([i for a, b in reversed(parts) for i in vocab.ids_of(text, a, b)])
+                first, last = forced(vocab, text, stop)
+                head = walk(vocab.forward(text[:first], start, first)[1], first) if first < last else []
+                middle = vocab.encode(text[first:last])[0] if first < last else []
+                away = text[last:] if first < last else text
+                tail = walk(vocab.forward(away, [0] if first < last else start, stop - last)[1], stop - last + leave)
+                rows.append([i for a, b in head for i in vocab.ids_of(text, a, b)] + middle + [i for a, b in tail for i in vocab.ids_of(away, a, b)])
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("no"), batch.column("total"), pa.array(rows, pa.list_(pa.int32()))], names=["key", "no", "total", "ids"])
 
     traced = started.join(ends, ["key", "no"]).mapInArrow(trace, "key long, no int, total long, ids array<int>")
@@ -313,8 +332,9 @@ def encode(docs: DataFrame, path: str, keep: list[str] | None = None, chunk: int
 
     short = beside(docs.where(~long_one), "text", "ids array<int>, score double", work, columns)
     giants = docs.where(long_one).select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    keyed = stored(giants.withColumn("key", F.monotonically_increasing_id()), "giants")
-    made = _giant(keyed.select("key", "text"), path, max(chunk, 64))
+    keyed = stored((giants.drop("text") if "text" in columns else giants).withColumn("key", F.monotonically_increasing_id()), "giants")
+    whole = F.col("row.text").cast("string").alias("text") if "text" in columns else F.col("text")
+    made = _giant(keyed.select("key", whole), path, max(chunk, 64))
     long_rows = keyed.select("key", "row").join(made, "key").select("row", F.struct("ids", (F.col("score") / F.lit(float(SCALE))).alias("score")).alias("made"))
     return short.select("row", "made").union(long_rows)
 

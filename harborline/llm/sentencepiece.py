@@ -64,7 +64,7 @@ class Vocabulary:
         self.byte_score = [rarest] * 256
         self.longest = max(map(len, self.pieces), default=1)
         self.log = {**{i: log[i] for i in plain}, **{i: rarest / SCALE for i in self.byte_id}}
-        self.spelled: list[bytes | None] = [None] * size
+        self.spelled = [b""] * size
         for piece, i in self.pieces.items():
             self.spelled[i] = piece.replace(SPACE, " ").encode("utf-8", "surrogatepass")
         for b, i in enumerate(self.byte_id):
@@ -240,10 +240,11 @@ class Vocabulary:
         """`encode_all` of one text."""
         return self.encode_all([text])[0]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of the ids, without the space that encoding puts first; ids that stand for no text are left out."""
-        spelled = self.spelled
-        raw = b"".join([spelled[i] for i in ids if 0 <= i < len(spelled) and spelled[i] is not None])
+        ids = np.asarray(ids, np.int64)
+        known = ids[(ids >= 0) & (ids < len(self.spelled))].tolist()
+        raw = b"".join(map(self.spelled.__getitem__, known))
         text = raw.decode("utf-8", "surrogatepass") if b"\xed" in raw else raw.decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
@@ -374,10 +375,11 @@ def _giant(keyed: DataFrame, path: str, size: int) -> DataFrame:
             for start, stop, text, leave in zip(*(batch.column(c).to_pylist() for c in ("start", "stop", "text", "leave"))):
                 first, last = forced(vocab, text, stop)
                 head = walk(vocab.forward(text[:first], start, first)[1], first) if first < last else []
-                middle = vocab.encode(text[first:last])[0].tolist() if first < last else []
+                middle = vocab.encode(text[first:last])[0] if first < last else np.zeros(0, np.int32)
                 away = text[last:] if first < last else text
                 tail = walk(vocab.forward(away, [0] if first < last else start, stop - last)[1], stop - last + leave)
-                rows.append([i for a, b in head for i in vocab.ids_of(text, a, b)] + middle + [i for a, b in tail for i in vocab.ids_of(away, a, b)])
+                sides = [np.array([i for a, b in parts for i in vocab.ids_of(source, a, b)], np.int32) for parts, source in ((head, text), (tail, away))]
+                rows.append(np.concatenate([sides[0], middle, sides[1]]))
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("no"), batch.column("total"), pa.array(rows, pa.list_(pa.int32()))], names=["key", "no", "total", "ids"])
 
     traced = started.join(ends, ["key", "no"]).mapInArrow(trace, "key long, no int, total long, ids array<int>")
@@ -425,7 +427,10 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", into: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
-            texts = [vocab.decode(i or []) for i in batch.column(place).to_pylist()]
+            lists = batch.column(place)
+            flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            texts = [vocab.decode(ids) for ids in np.split(flat, ends)[: len(lists)]]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*columns, into])
 
     from pyspark.sql.types import StringType, StructField, StructType

@@ -11,9 +11,12 @@ draws.
 Documents with the same set of shingles are one class at once. Of each class
 one document is compared further: bands of `ROWS` coordinates put it into
 buckets, everybody in a bucket is compared with the bucket's leader, and linked
-documents form components; a second round has other leaders. Where a bucket
-still holds more than one component, all members of different components are
-compared, in blocks of bounded size. A comparison first looks at the sketches,
+documents form components. The first leader is the member that shares the most
+buckets with others, which in a group of copies is the one nearest to their
+origin; a second round has other leaders. Where a bucket still holds more than
+one component, it is cut into blocks of bounded size: first everybody is
+compared with the most similar member of another component in each block, then
+all members of the components that still differ. A comparison first looks at the sketches,
 with a margin of seven standard deviations, and then at the full sets, which are
 computed again from the texts of the few documents that need it. No bucket is
 capped, and pairs inside one component are never listed.
@@ -35,6 +38,8 @@ COORDINATES = 160
 ROWS = 5
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 512
+#: Buckets of more members count where a leader is chosen; in smaller ones any leader will do.
+LARGE = 32
 #: Bits of the filter that keeps texts which need no full set out of the shuffle.
 FILTER_BITS = 1 << 23
 
@@ -171,8 +176,11 @@ def _alike(percent: int):
     return run
 
 
-def _block_pairs(percent: int):
-    """Pairs of different components in one block (or between two blocks) of a bucket whose sketches are alike."""
+def _block_pairs(percent: int, nearest: bool):
+    """Pairs of different components in one block (or between two blocks) of a bucket whose sketches are alike.
+
+    nearest: of every member only the pair with the largest number of equal coordinates.
+    """
     least = least_equal(percent)
 
     def run(table: pa.Table) -> pa.Table:
@@ -187,7 +195,9 @@ def _block_pairs(percent: int):
             if one == two:
                 others = others[others > i]
             if len(others):
-                others = others[(sketch[others] == sketch[i]).sum(1) >= least]
+                equal = (sketch[others] == sketch[i]).sum(1)
+                others = others[equal >= max(least, equal.max())] if nearest else others[equal >= least]
+                others = others[:1] if nearest else others
                 found.append(np.stack([np.full(len(others), i), others], 1))
         pairs = np.concatenate(found)
         return pa.table({"a": ids[pairs[:, 0]], "b": ids[pairs[:, 1]], "na": n[pairs[:, 0]], "nb": n[pairs[:, 1]]})
@@ -230,8 +240,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     one_each = sketched.join(classes.select(F.col("rep").alias("id"), "n", "mark", "mark2"), ["id", "n", "mark", "mark2"], "left_semi").dropDuplicates(["id"])
     shown = stored(one_each.select("id", "n", "bands", "sketch"), "shown")
     banded = shown.select("id", "n", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-    buckets = stored(banded.join(shared, "key", "left_semi"), "buckets")
+    shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    buckets = stored(banded.join(shared, "key"), "buckets")
+    weights = buckets.where(F.col("size") > LARGE).groupBy("id").agg(F.sum("size").alias("weight"))
+    weighed = buckets.join(weights, "id", "left").withColumn("weight", F.coalesce("weight", F.lit(0)))
     short = shown.select("id", "sketch")
 
     def of_length(pairs: DataFrame) -> DataFrame:
@@ -250,8 +262,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
         common = both.select("a", "b", "na", "nb", F.size(F.array_intersect("ma", "mb")).cast("long").alias("common"))
         return stored(common.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b"), "links")
 
-    def with_leaders(rows: DataFrame, order: Column) -> DataFrame:
-        leaders = rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "id", "n")).alias("l")).select("key", F.col("l.id").alias("b"), F.col("l.n").alias("nb"))
+    def with_leaders(rows: DataFrame, ranked: DataFrame, order: Column) -> DataFrame:
+        leaders = ranked.groupBy("key").agg(F.min(F.struct(order.alias("o"), "id", "n")).alias("l")).select("key", F.col("l.id").alias("b"), F.col("l.n").alias("nb"))
         return rows.select("key", F.col("id").alias("a"), F.col("n").alias("na")).join(leaders, "key")
 
     def unsettled(rows: DataFrame) -> DataFrame:
@@ -260,22 +272,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
         return stored(named.join(several.select("key", "size"), "key"), "unsettled")
 
     repeats = not sketched.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
-    components = stored(connected_components(verified(alike(with_leaders(buckets, F.col("id"))))), "components")
+    components = stored(connected_components(verified(alike(with_leaders(buckets, weighed, -F.col("weight"))))), "components")
     left = unsettled(buckets)
-    for final in (False, True):
+    for turn in ("leaders", "nearest", "all"):
         if left.isEmpty():
             break
-        if final:
+        if turn != "leaders":
             blocks = blocks_for(F.col("size"), BLOCK)
             dealt = left.withColumn("block", F.pmod(F.xxhash64(F.lit(9), "id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             dealt = dealt.select("key", "id", "n", "component", "block", F.least("block", "other").cast("int").alias("one"), F.greatest("block", "other").cast("int").alias("two")).join(short, "id")
-            near = of_length(dealt.groupBy("key", "one", "two").applyInArrow(_block_pairs(percent), "a long, b long, na long, nb long"))
+            near = of_length(dealt.groupBy("key", "one", "two").applyInArrow(_block_pairs(percent, turn == "nearest"), "a long, b long, na long, nb long"))
         else:
-            near = alike(with_leaders(left, F.xxhash64(F.lit(7), "id")))
+            near = alike(with_leaders(left, left, F.xxhash64(F.lit(7), "id")))
         found = verified(near)
         if not found.isEmpty():
             components = stored(connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)), "components")
-            left = left if final else unsettled(left.select("key", "id", "n"))
+            left = left if turn == "all" else unsettled(left.select("key", "id", "n"))
     grouped = classes.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left").select("n", "mark", "mark2", F.coalesce("component", "rep").alias("component"))
     joined = ids.join(grouped, ["n", "mark", "mark2"], "left")
     result = joined.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))

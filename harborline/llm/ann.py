@@ -12,7 +12,10 @@ How long a block is, is measured and not guessed: for a bounded sample of
 queries the true neighbours are found by a pass over all vectors, and the
 shortest blocks are taken that would have found the wanted share of them. Where
 nearness says little (random directions in many dimensions), blocks grow with
-the table; where it says much, they stay short.
+the table, without a bound; where it says much, they stay short. Long blocks are
+compared in pieces, of the queries and of the candidates. Where the blocks of
+all curves together would hold more rows than the table, every query is compared
+with every row instead, once.
 
 Equal vectors form one class, which is searched once and stands for its `k + 1`
 smallest ids, so copies can't crowd out each other, and ties go to the smaller
@@ -28,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborline.llm.common import prepare_llm, stored
+from harborline.llm.common import blocks_for, prepare_llm, stored
 from harborline.llm.vectors import matrix, usable
 
 CURVES, DIRECTIONS, BITS = 8, 6, 8
-SHORTEST, LONGEST = 1024, 65_536
+SHORTEST = 1024
+#: Candidates, and about so many queries, of one piece of a long block.
+PIECE = 65_536
 #: Queries whose true neighbours are looked up to choose the block length, and the share to be found.
 SAMPLE, WANTED = 96, 0.95
 
@@ -75,7 +80,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def _compared(k: int):
-    """Of one block: for every query the k best candidates."""
+    """Of one block, or one piece of it: for every query the k best candidates."""
 
     def run(table: pa.Table) -> pa.Table:
         role = table.column("asks").to_numpy()
@@ -152,14 +157,25 @@ def search(rows: DataFrame, asks, k: int = 20, vec_id: str = "vec_id", vector: s
     ahead = spark.createDataFrame(offsets, "part long, ahead long")
     positions = ordered.withColumn("part", part).join(F.broadcast(ahead), "part").select("class", "curve", (F.col("ahead") + F.col("place").bitwiseAND((1 << 33) - 1) - F.col("curve") * total).alias("at"))
     length = _block_length(named, positions, total, k, wanted)
-    last = (total - 1) // length
-    places = positions.groupBy("class").agg(F.collect_list(F.struct("curve", F.floor(F.col("at") / length).cast("long").alias("block"))).alias("places"))
+    if length > PIECE and 3 * CURVES * length >= total:
+        # one curve that is one block: all pairs, which are fewer than those of the blocks
+        length, positions = total, positions.where("curve = 0")
+    last, pieces = (total - 1) // length, -(-length // PIECE)
+    inside = F.floor(F.pmod("at", F.lit(length)) / PIECE).cast("int")
+    places = positions.groupBy("class").agg(F.collect_list(F.struct("curve", F.floor(F.col("at") / length).cast("long").alias("block"), inside.alias("piece"))).alias("places"))
     met = named.select("class", "vector", "asks").join(places, "class")
-    held = met.select("class", "vector", F.lit(False).alias("asks"), F.explode("places").alias("p"))
+    held = met.select("class", "vector", F.lit(False).alias("asks"), F.explode("places").alias("p")).select("class", "vector", "asks", "p.curve", "p.block", "p.piece")
     beside = lambda p: F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: F.struct(p["curve"].alias("curve"), (p["block"] + d).alias("block")))
-    asking = met.where("asks").select("class", "vector", F.lit(True).alias("asks"), F.explode(F.flatten(F.transform("places", beside))).alias("p")).where(F.col("p.block").between(0, last))
-    dealt = held.union(asking).select("class", "vector", "asks", F.col("p.curve").alias("curve"), F.col("p.block").alias("block"))
-    near = dealt.groupBy("curve", "block").applyInArrow(_compared(k + 1), "query long, class long, score double")
+    asking = met.where("asks").select("class", "vector", F.lit(True).alias("asks"), F.explode(F.flatten(F.transform("places", beside))).alias("p")).where(F.col("p.block").between(0, last)).select("class", "vector", "asks", "p.curve", "p.block")
+    keys = ["curve", "block"]
+    if pieces > 1:
+        keys += ["piece", "share"]
+        shares = stored(asking.groupBy("curve", "block").agg(blocks_for(F.count("*"), PIECE).alias("shares")), "shares")
+        held = held.join(shares, ["curve", "block"]).withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+        asking = asking.join(shares, ["curve", "block"]).withColumn("share", F.pmod(F.xxhash64(F.lit(5), "class"), F.col("shares")).cast("int")).withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+    columns = ["class", "vector", "asks", *keys]
+    dealt = held.select(columns).union(asking.select(columns))
+    near = dealt.groupBy(*keys).applyInArrow(_compared(k + 1), "query long, class long, score double")
     pairs = near.groupBy("query", "class").agg(F.max("score").alias("score"))
     top = pairs.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "class"))).where(F.col("n") <= k + 1)
     answers = top.select(F.col("query").alias("class"), F.col("class").alias("near"), "score").join(asked.withColumnRenamed("id", "query_id"), "class")
@@ -179,7 +195,7 @@ def _block_length(named: DataFrame, positions: DataFrame, total: int, k: int, wa
         return SHORTEST
     sample = asked.where(F.pmod(F.xxhash64(F.lit(1), "class"), F.lit(1_000_003)) < min(1.0, SAMPLE / n) * 1_000_003).orderBy("class").toArrow()
     if not sample.num_rows:
-        return LONGEST
+        return total
     shared = spark.sparkContext.broadcast((sample.column("class").to_numpy(), matrix(sample.column("vector"))))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,9 +218,9 @@ def _block_length(named: DataFrame, positions: DataFrame, total: int, k: int, wa
     query, name, home, at = (pairs.column(c).to_numpy() for c in ("query", "class", "home", "at"))
     pair = np.unique(np.stack([query, name]), axis=1, return_inverse=True)[1].ravel()
     length = SHORTEST
-    while length < LONGEST:
+    while length < total:
         hit = np.abs(home // length - at // length) <= 1
         if np.bincount(pair, hit).astype(bool).mean() >= wanted:
             break
         length = int(length * 1.25)
-    return min(length, LONGEST)
+    return min(length, total)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import beside, prepare_llm, remainder
+from harborline.llm.common import beside, prepare_llm, remainder, stored
 
 DECAY = 0.6
 LENGTH = 3
@@ -36,6 +36,8 @@ WINDOW = 24
 FLOOR = 0.25
 #: A unit is compared with a landmark if it has so large a share of the landmark's distinct letters.
 GATE = 0.75
+#: Share of landmarks that may be there by chance, and documents of each label that are fitted for a landmark's sake.
+FALSE, EACH_MARK = 0.01, 20
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2,}")
@@ -172,7 +174,7 @@ class Landmarks:
         for n in np.unique(lengths[lengths >= LENGTH]):
             i, j, k, weight = _triples_of(int(n))
             same = np.flatnonzero(lengths == n)
-            step = max(1, 200_000 // len(i))
+            step = max(1, 10_000_000 // (len(i) * max(50, len(self.texts))))
             for at in range(0, len(same), step):
                 some = same[at : at + step]
                 points = np.frombuffer("".join([texts[m] for m in some]).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -188,15 +190,20 @@ class Landmarks:
 
     def learn(self, units: list[str]) -> None:
         """Put new units into the memo, with their values where one is above the floor."""
-        seen, rows = self.memo
-        seen.update(units)
+        self.memo[0].update(units)
         parts, owner = [], []
         for unit in units:
             for w in windows(unit):
                 parts.append(w)
                 owner.append(unit)
-        if not parts or not self.texts:
+        if not self.texts:
             return
+        step = max(256, 1_000_000 // len(self.texts))
+        for at in range(0, len(parts), step):
+            self._learn(parts[at : at + step], owner[at : at + step])
+
+    def _learn(self, parts: list[str], owner: list[str]) -> None:
+        rows = self.memo[1]
         passing = np.bitwise_count(_letters(parts)[:, None] & self.masks) >= self.need
         which = np.flatnonzero(passing.any(1))
         if not len(which):
@@ -221,7 +228,7 @@ class Landmarks:
     def sentences(self, texts: list[str | None]) -> list[list[np.ndarray]]:
         """For each text the values of its sentences that have any above the floor."""
         (seen, memo), lowered = self.memo, [(t or "").lower() for t in texts]
-        if len(seen) > 500_000:
+        if len(seen) > 500_000 or len(memo) * len(self.texts) > 10_000_000:
             seen.clear()
             memo.clear()
         spaced = [_SPACED.findall(t) for t in lowered]
@@ -258,33 +265,77 @@ class Model:
         return (1 / (1 + np.exp(-np.clip(self.slope * np.array(worst) + self.offset, -500, 500)))).tolist()
 
 
+def _strings(word: str) -> set[str]:
+    """The strings of a word that can be landmarks: the word, or its windows, and how it begins."""
+    parts = windows(word)
+    if len(parts) == 1:
+        parts += [parts[0][:k] for k in range(4, min(9, len(parts[0]))) if parts[0][k - 1].isalnum()]
+    return {p for p in parts if sum(map(str.isalnum, p)) >= LENGTH}
+
+
+def _found(texts: list[str | None], known: dict[str, set[str]]) -> Iterator[set[str]]:
+    """For each text all strings that can be landmarks; known: a memo of words."""
+    for text in texts:
+        if len(known) > 50_000:
+            known.clear()
+        words = set((text or "").lower().split())
+        known.update((w, _strings(w)) for w in words if w not in known)
+        yield set().union(*(known[w] for w in words))
+
+
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many toxic and other documents of this task have a word, or a word that begins so."""
-    counts = (Counter(), Counter())
+    """How many toxic and other documents have a word, or a word that begins so; a string can come more than once."""
+    counts, known = (Counter(), Counter()), {}
+
+    def told():
+        for toxic, found in enumerate(counts):
+            names = list(found)
+            for at in range(0, len(names), 50_000):
+                part = names[at : at + 50_000]
+                here, none = pa.array([found[n] for n in part], pa.int64()), pa.array([0] * len(part), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), here if toxic else none, none if toxic else here], names=["word", "toxic", "clean"])
+            found.clear()
+
     for batch in batches:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            seen = set()
-            for word in set((text or "").lower().split()):
-                word = _ENDS.sub("", word)
-                if LENGTH < len(word) <= WINDOW and word.isalpha():
-                    seen.add(word)
-                    seen.update(word[:k] for k in range(4, min(9, len(word))))
-            counts[toxic].update(seen)
-    for toxic, found in enumerate(counts):
-        names = list(found)
-        for at in range(0, len(names), 50_000):
-            part = names[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([found[n] for n in part] if toxic else [0] * len(part), pa.int64()), pa.array([0] * len(part) if toxic else [found[n] for n in part], pa.int64())], names=["word", "toxic", "clean"])
-
-
-def _choose(rows: list, most: int) -> list[str]:
-    """The most telling strings, without those that only extend or abridge a better one."""
-    chosen: list[str] = []
-    for word in rows:
-        if not any(word.startswith(c) or c.startswith(word) for c in chosen):
-            chosen.append(word)
-        if len(chosen) == most:
-            break
+        for found, toxic in zip(_found(batch.column(0).to_pylist(), known), batch.column(1).to_pylist()):
+            counts[toxic].update(found)
+        if sum(map(len, counts)) > 200_000:
+            yield from told()
+    yield from told()
+
+
+def _telling(counted: DataFrame, n: dict[int, int]) -> list:
+    """The strings (word, toxic, clean) that are telling, the most telling first, by Benjamini and Hochberg's cut.
+
+    A string is tested if it is in so many documents that it could pass alone. Were labels dealt by chance, a string
+    of s documents would be in this many toxic ones with a probability of at most exp(-sure) (Chernoff's bound);
+    strings less than four times as frequent in toxic documents are never telling.
+    """
+    chance = n[1] / (n[0] + n[1])
+    tested = counted.where(F.col("toxic") + F.col("clean") >= float(np.log(FALSE) / np.log(chance)))
+    part = lambda count, share: F.when(F.col(count) == 0, 0.0).otherwise(F.col(count) * F.log(F.col(count) / (F.col("toxic") + F.col("clean")) / share))
+    more = F.col("toxic") * n[0] > F.col("clean") * (4 * n[1])
+    sure = stored(tested.withColumn("sure", F.when(more, part("toxic", chance) + part("clean", 1 - chance)).otherwise(0.0)), "sure")
+    levels = sure.groupBy(F.floor(F.least("sure", F.lit(600.0)) * 100).alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
+    total, passed, least = sum(r["n"] for r in levels), 0, None
+    for r in levels:
+        passed += r["n"]
+        if r["level"] > 0 and total * np.exp(-r["level"] / 100) <= FALSE * passed:
+            least = r["level"] / 100
+    if least is None:
+        return []
+    return sure.where(F.col("sure") >= least).orderBy(F.desc("sure"), F.desc(F.length("word")), "word").select("word", "toxic", "clean").collect()
+
+
+def _choose(rows: list) -> list:
+    """Without those that only extend or abridge a better one."""
+    chosen, words, begins = [], set(), set()
+    for row in rows:
+        heads = {row["word"][:k] for k in range(1, len(row["word"]) + 1)}
+        if row["word"] not in begins and not heads & words:
+            chosen.append(row)
+            words.add(row["word"])
+            begins |= heads
     return chosen
 
 
@@ -324,59 +375,66 @@ def _logistic(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tupl
     return float(slope), float(-slope * center)
 
 
-def fit(docs: DataFrame, labels: DataFrame, each: int = 1500, landmarks: int = 48) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, each: int = 1500) -> Model:
     """Learn from docs (doc_id, text) and labels (doc_id, toxic 0 or 1, nulls left out; 1 wins over repeats).
 
-    About `each` toxic and twice as many other documents are read at most,
-    chosen by a hash of doc_id, whole texts. The driver gets the best few
-    hundred candidate strings and the values of sentences of these documents.
-    A string becomes a landmark if its share of the toxic documents is three (with
-    few of them) to six standard errors above its share of the others. Without such strings, or
-    without toxic or other examples, every text scores 0.
+    Words are counted in all labelled documents. Every string that is more frequent in toxic documents
+    than chance allows becomes a landmark (of these about FALSE are wrong). The weights are fitted on
+    about `each` toxic and twice as many other documents at most, and EACH_MARK of each label for every
+    landmark, chosen by a hash of doc_id and weighted by their chance to be chosen; the driver gets the
+    values of their sentences. Without landmarks, or without toxic or other examples, every text scores 0.
     """
     spark = prepare_llm(docs.sparkSession)
     label = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    there = docs.select("doc_id").where(F.col("text").isNotNull()).join(label, "doc_id").select("doc_id", "toxic")
-    sizes = {r["toxic"]: r["n"] for r in there.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    labelled = stored(docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null").join(label, "doc_id"), "labelled")
+    n = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     nothing = Model(Landmarks([]), np.zeros(0), 0.0, 1.0, -500.0)
-    if not sizes.get(0) or not sizes.get(1):
-        return nothing
-    share = [min(1.0, 2 * each / sizes[0]), min(1.0, each / sizes[1])]
-    ids = there.distinct().where(F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1_000_003)) < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * 1_000_003)
-    # about 3 * each ids at most, so they may go to every task; no text is shuffled
-    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null").join(F.broadcast(ids), "doc_id")
-    n = {r["toxic"]: r["n"] for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return nothing
-    counted = chosen.select("text", "toxic").mapInArrow(_candidates, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    telling = counted.where(f"toxic >= {max(2, n[1] // 500)} and toxic / {n[1]} > 4 * clean / {n[0]}").withColumn("z", F.expr(f"(toxic / {n[1]} - clean / {n[0]}) / sqrt(toxic / {float(n[1]) ** 2} + (clean + 1) / {float(n[0]) ** 2})"))
-    best = [r["word"] for r in telling.where(f"z >= {min(6.0, 3 + n[1] / 200)}").orderBy(F.desc("z"), F.desc(F.length("word")), "word").limit(1500).collect()]
-    marks = Landmarks(_choose(best, landmarks))
-    if not marks.texts:
+    counted = labelled.select("text", "toxic").mapInArrow(_candidates, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    chosen = _choose(_telling(counted, n))
+    if not chosen:
         return nothing
-    shared = spark.sparkContext.broadcast(marks)
+    marks = Landmarks([r["word"] for r in chosen])
+    share = [min(1.0, 2 * each / n[0]), min(1.0, each / n[1])]
+    rates = {r["word"]: (min(1.0, EACH_MARK / max(1, r["clean"])), min(1.0, EACH_MARK / r["toxic"])) for r in chosen}
+    shared = spark.sparkContext.broadcast((marks, rates))
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (own, rate), known = shared.value, {}
         for batch in batches:
-            found = shared.value.sentences(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([np.concatenate(f).tolist() if f else [] for f in found], pa.list_(pa.float32()))], names=["doc_id", "toxic", "values"])
-
-    got = chosen.select("doc_id", "text", "toxic").mapInArrow(values, "doc_id long, toxic int, values array<float>").orderBy("doc_id").toArrow()
-    toxic = got.column("toxic").to_numpy()
-    bags = [np.array(v, float).reshape(-1, len(marks.texts)) for v in got.column("values").to_pylist()]
-    bags = [b if len(b) else np.zeros((1, len(marks.texts))) for b in bags]
-    every = [marks.texts[i] for i in range(len(marks.texts))]
-    pairs = [(a, b) for a in range(len(every)) for b in range(len(every))]
-    gram = subsequence_kernel([every[a] for a, _ in pairs], [every[b] for _, b in pairs]).reshape(len(every), -1) / np.outer(marks.own, marks.own)
+            texts, toxic, draw = (batch.column(c).to_pylist() for c in (1, 2, 3))
+            chances = [max([share[t], *(rate[w][t] for w in found & rate.keys())]) for found, t in zip(_found(texts, known), toxic)]
+            some = [i for i, c in enumerate(chances) if draw[i] < c]
+            found = own.sentences([texts[i] for i in some])
+            rows = [np.unique(np.array(f), axis=0) if f else np.zeros((0, len(rate)), np.float32) for f in found]
+            cells = [np.flatnonzero(r).astype(np.int32) for r in rows]
+            ids, kind = (batch.column(c).take(pa.array(some, pa.int64())) for c in (0, 2))
+            arrays = [ids, kind, pa.array([chances[i] for i in some], pa.float64()), pa.array(map(len, rows), pa.int32()), pa.array(cells, pa.list_(pa.int32())), pa.array([r.ravel()[c] for r, c in zip(rows, cells)], pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "toxic", "chance", "rows", "cells", "values"])
+
+    drawn = labelled.select("doc_id", "text", "toxic", (F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1_000_003)) / 1_000_003).alias("draw"))
+    got = drawn.mapInArrow(values, "doc_id long, toxic int, chance double, rows int, cells array<int>, values array<float>").toArrow().sort_by("doc_id").combine_chunks()
+    toxic, weight = got.column("toxic").to_numpy(), 1 / got.column("chance").to_numpy()
+    if len(set(toxic.tolist())) < 2:
+        return nothing
+    # equal rows are fitted once, with the sum of their weights; a document without rows has one of zeros
+    counts = np.maximum(1, got.column("rows").to_numpy())
+    known, which = {}, []
+    for n_rows, cells, some in zip(counts, got.column("cells"), got.column("values")):
+        bag = np.zeros((n_rows, len(marks.texts)), np.float32)
+        bag.ravel()[cells.values.to_numpy()] = some.values.to_numpy()
+        which += [known.setdefault(row.tobytes(), len(known)) for row in bag]
+    rows, which = np.frombuffer(b"".join(known), np.float32).reshape(len(known), -1).astype(float), np.array(which)
+    gram = marks.kernels(marks.texts) / np.outer(marks.own, marks.own)
     roots, vectors = np.linalg.eigh(gram)
     nystrom = vectors @ np.diag(1 / np.sqrt(np.maximum(roots, 0.05))) @ vectors.T
-    features = [b @ nystrom for b in bags]
-    weight = np.where(toxic == 1, 1 / share[1], 1 / share[0])
-    owner = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    rows = np.concatenate(features)
-    w = _svm(rows, 2.0 * toxic[owner] - 1, weight[owner])
+    owner = np.repeat(np.arange(len(counts)), counts)
+    heavy = np.bincount(2 * which + toxic[owner], weight[owner], 2 * len(rows))
+    kinds = np.flatnonzero(heavy)
+    w = _svm((rows @ nystrom)[kinds // 2], 2.0 * (kinds % 2) - 1, heavy[kinds])
     weights = nystrom @ w[:-1]
-    worst = np.array([max(float((b @ weights).max()), 0.0) + w[-1] for b in bags])
+    worst = np.maximum(np.maximum.reduceat((rows @ weights)[which], np.cumsum(counts) - counts), 0.0) + w[-1]
     slope, offset = _logistic(worst, toxic.astype(float), weight)
     return Model(marks, weights, float(w[-1]), slope, offset)
 

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import ann, chat, forest, language_id, lattice, minhash, mixing, sentencepiece, token_files, toxicity
+from harborline.llm import ann, chat, fim, forest, language_id, lattice, minhash, mixing, negatives, packing, sentencepiece, token_files, toxicity
 from harborline.llm.common import remainder, stored, table
 from harborline.llm.stages import TARGETS
 from harborline.settings import work_path
@@ -27,6 +26,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file lies; only queries that need one need the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 _COMPONENTS = """
 reach AS (SELECT a, a AS b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
 found AS (SELECT a AS id, min(b) AS component FROM reach GROUP BY a)
@@ -115,7 +121,7 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_sentencepiece")
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of every document and, decoded again, whether the text came back exactly."""
-    path = public_tokenizers.path("piece_bpe_32k.model")
+    path = vocabulary("piece_bpe_32k.model")
     made = sentencepiece.encode(table(spark, folder, "documents"), path, ["doc_id", "text"])
     back = sentencepiece.decode(made.select("row.doc_id", "row.text", "made.ids", "made.score"), path, into="decoded")
     return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"), "score", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
@@ -154,7 +160,7 @@ def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as token files, read back: start, number and checksum of each document's ids."""
     path = work_path(spark, "token-files")
-    token_files.write(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    token_files.write(table(spark, folder, "documents"), path, vocabulary("byte_bpe_50k.json"))
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
@@ -162,5 +168,64 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op10_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Log10 probabilities of all documents, learned from those whose crc32 modulo 7 is not 2."""
     docs = table(spark, folder, "documents")
-    scored = lattice.score(docs, remainder(F.col("doc_id"), 7) != 2, public_tokenizers.path("piece_bpe_32k.model"))
+    scored = lattice.score(docs, remainder(F.col("doc_id"), 7) != 2, vocabulary("piece_bpe_32k.model"))
     return scored.select("doc_id", (remainder(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query(
+    "op11_fill_in_middle",
+    """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+units AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+    CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM hashed),
+cuts AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM units),
+parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+""",
+)
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents cut by lines into fill-in-the-middle form, and restored from output and form."""
+    made = fim.transform(table(spark, folder, "documents"), keep=["doc_id"]).select("row.doc_id", "made.*")
+    back = fim.restore(made, F.col("output"), F.col("form"))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return back.select("row.doc_id", "row.n", "row.form", "row.prefix_chars", "row.middle_chars", digest("row.output").alias("output_sha256"), digest("made.text").alias("restored_sha256"))
+
+
+@query(
+    "op12_hard_negatives",
+    """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND list_count(embedding) = len(embedding) AND isfinite(list_sum(CAST(embedding AS DOUBLE[])))),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.q, c.q) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same) WHERE place <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
+""",
+)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """For rows whose id is divisible by 100: five positives, and five negatives of 80 to 100 % of each one's score, among all rows."""
+    rows = table(spark, folder, "embeddings")
+    noisy = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine(noisy, F.col("vec_id") % 100 == 0)
+
+
+@query("op13_packing")
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as pieces of sequences of at most 4096 tokens."""
+    return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))

@@ -181,9 +181,10 @@ def plan(counts: np.ndarray, tokens: np.ndarray, length: int = LENGTH) -> tuple[
     """How many buckets of documents are cut to fill gaps, and the patterns of the others.
 
     counts, tokens: by bucket and class. Tried first with the gaps that the width of the classes makes, then
-    with more, until the tokens of the cut documents fill every gap; with all buckets cut there are no gaps.
+    with more and more, until the tokens of the cut documents fill every gap; with all buckets cut there are
+    no gaps.
     """
-    tops, total = class_tops(length), int(tokens.sum())
+    tops, total, step = class_tops(length), int(tokens.sum()), 1
     wide = int((counts @ tops).sum())
     buckets = -(-len(counts) * (wide - total) // wide) if wide > total else 0
     while True:
@@ -192,7 +193,8 @@ def plan(counts: np.ndarray, tokens: np.ndarray, length: int = LENGTH) -> tuple[
         lacking = gaps - int(tokens[:buckets].sum())
         if lacking <= 0:
             return buckets, patterns
-        buckets = min(len(counts), buckets + max(1, int(len(counts) * lacking / (total + gaps))))
+        step = max(2 * step, int(len(counts) * lacking / (total + gaps)))
+        buckets = min(len(counts), buckets + step)
 
 
 def _slots(patterns: list[tuple[np.ndarray, int]]) -> list[tuple[int, int, int, int, int]]:

@@ -49,6 +49,81 @@ def s02(t):
     return S.doubles(cdc.after_images(order_records(t), "orders"), "total_amount")
 
 
+def broken_records(t):
+    """Order messages of which four in ten are wrong: a key that is no number, cut text, an amount that is a word, an amount too long."""
+    n = F.col("o_orderkey").cast("string")
+    kind = F.col("o_orderkey") % 10
+    key = F.when(kind == 0, F.concat(F.lit('"x'), n, F.lit('"'))).otherwise(n)
+    amount = F.when(kind == 2, F.lit('"ten"')).when(kind == 3, F.concat(n, F.lit("0000000000000000000.5"))).otherwise(F.concat(n, F.lit(".25")))
+    whole = F.concat(F.lit('{"after":{"order_id":'), key, F.lit(',"user_id":'), F.col("o_custkey").cast("string"), F.lit(',"total_amount":'), amount, F.lit("}}"))
+    made = t.orders.select(whole.alias("whole"), kind.alias("kind"))
+    return made.select(F.expr("CASE WHEN kind = 1 THEN left(whole, length(whole) - 5) ELSE whole END").alias("value"))
+
+
+_BROKEN = """
+WITH made AS (
+  SELECT o_orderkey, o_custkey, o_orderkey % 10 AS kind, CAST(o_orderkey AS VARCHAR) AS n,
+    CASE o_orderkey % 10 WHEN 2 THEN 'ten' WHEN 3 THEN n || '0000000000000000000.5' ELSE n || '.25' END AS amount,
+    '{"after":{"order_id":' || CASE WHEN kind = 0 THEN '"x' || n || '"' ELSE n END || ',"user_id":' || o_custkey || ',"total_amount":' || CASE WHEN kind = 2 THEN '"ten"' ELSE amount END || '}}' AS whole
+  FROM orders)
+"""
+
+
+@query(
+    "s02_rejected_records",
+    _BROKEN + """
+SELECT CASE WHEN kind = 1 THEN left(whole, length(whole) - 5) ELSE whole END AS value,
+  CASE kind WHEN 0 THEN 'order_id: x' || n WHEN 1 THEN 'not a change record' ELSE 'total_amount: ' || amount END AS error
+FROM made WHERE kind < 4""",
+)
+def s02_rejected(t):
+    return cdc.split_records(broken_records(t), "orders")[1]
+
+
+@query(
+    "s02_accepted_records",
+    _BROKEN + """
+SELECT o_orderkey AS order_id, o_custkey AS user_id, '' AS order_status, o_orderkey + 0.25::DOUBLE AS total_amount, TIMESTAMP '1970-01-01' AS created_at, TIMESTAMP '1970-01-01' AS updated_at
+FROM made WHERE kind >= 4""",
+)
+def s02_accepted(t):
+    return S.doubles(cdc.split_records(broken_records(t), "orders")[0], "total_amount")
+
+
+@query(
+    "s03_wide_decimals",
+    """
+WITH wide AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN -1 - l_orderkey ELSE l_orderkey END::HUGEINT * 18446744073709551616 + l_partkey AS v,
+    CASE WHEN l_returnflag = 'R' THEN -1 - l_partkey ELSE l_partkey END AS u FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN v < 0 THEN '-' ELSE '' END || (abs(v) // 100) || '.' || lpad(CAST(abs(v) % 100 AS VARCHAR), 2, '0') AS amount,
+  CASE WHEN u < 0 THEN '-' ELSE '' END || (abs(u) // 100) || '.' || lpad(CAST(abs(u) % 100 AS VARCHAR), 2, '0') AS small, CAST(NULL AS VARCHAR) AS beyond
+FROM wide""",
+)
+def s03_wide(t):
+    """Amounts of 16 bytes and of 8, and one that has more digits than its type."""
+    negative = F.col("l_returnflag") == "R"
+    signed = lambda c: F.lpad(F.hex(F.when(negative, -1 - F.col(c)).otherwise(F.col(c))), 16, "0")
+    wide = F.unhex(F.concat(signed("l_orderkey"), F.lpad(F.hex("l_partkey"), 16, "0")))
+    amount = lambda raw, precision: cdc.bytes_to_decimal(raw, 2, precision).cast("string")
+    return t.lineitem.select(
+        "l_orderkey", "l_linenumber", amount(wide, 38).alias("amount"), amount(F.unhex(signed("l_partkey")), 38).alias("small"),
+        amount(F.unhex(F.concat(F.lit("7F"), F.hex(wide))), 38).alias("beyond"),
+    )
+
+
+@query("s04_payments_bytes", "SELECT o_orderkey AS payment_id, o_orderkey AS order_id, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS amount, o_orderpriority AS payment_method, o_orderdate AS payment_date, o_orderstatus AS status FROM orders")
+def s04_bytes(t):
+    """Payments whose amounts are base64 of unscaled bytes, as a producer in precise mode writes them."""
+    cents = F.unhex(F.lpad(F.hex((S.money("o_totalprice") * 100).cast("long")), 16, "0"))
+    row = F.struct(
+        F.col("o_orderkey").alias("payment_id"), F.col("o_orderkey").alias("order_id"), F.base64(cents).alias("amount"),
+        F.col("o_orderpriority").alias("payment_method"), _micros(F.col("o_orderdate")).alias("payment_date"), F.col("o_orderstatus").alias("status"),
+    )
+    records = t.orders.select(F.to_json(F.struct(row.alias("after"))).alias("value"))
+    return S.doubles(cdc.after_images(records, "payments", decimals="bytes").drop("created_at", "updated_at"), "amount")
+
+
 @query(
     "s03_typed_getters",
     """SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END AS price,

@@ -67,6 +67,22 @@ def k06(t):
     return S.day_texts(tiers[0].unionByName(tiers[1]).groupBy("day", "tier").agg(F.count(F.lit(1)).alias("n")), "day")
 
 
+@query(
+    "k06_second_move_new_column",
+    """SELECT event_id, event_type, CASE WHEN event_id % 3 = 0 THEN 'late' END AS channel, CASE WHEN event_id % 3 = 0 THEN user_id END AS owner
+       FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10'""",
+)
+def k06_new_column(t):
+    """A third of a day's rows comes later, with a text and a map column that the first move didn't have; some come again."""
+    hot, cold = work_path(t.spark, "hot"), work_path(t.spark, "cold")
+    rows = t.events.where("cast(ts as date) = date'2024-01-10'").select("event_id", "event_type", "user_id", "ts", F.to_date("ts").alias("day"))
+    late = rows.where("event_id % 3 = 0").withColumns({"channel": F.lit("late"), "tags": F.create_map(F.lit("owner"), F.col("user_id"))})
+    for batch in (rows, late, rows.where("event_id % 3 = 1")):
+        tables.replace_partitions(batch, hot, ["day"], ["ts"])
+        tables.move_day_to_cold(t.spark, hot, cold, "2024-01-10", "ts", ["event_id"])
+    return tables.read_cold(t.spark, cold).select("event_id", "event_type", "channel", F.col("tags")["owner"].alias("owner"))
+
+
 @query(
     "k06_replace_partition",
     """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(sum(CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-20' THEN 2 ELSE 1 END) AS BIGINT) AS weight FROM events GROUP BY 1""",

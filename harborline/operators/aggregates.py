@@ -36,9 +36,12 @@ def joined_distinct(df: DataFrame, keys: list[str], value: str, name: str, separ
 def recent_or_all(df: DataFrame, recent: Column) -> DataFrame:
     """The recent rows, or every row when nothing is recent.
 
-    The check is an uncorrelated existence test, evaluated once per query.
+    A probe decides first: it reads with the condition pushed down and stops at
+    the first row. The plan is then one of two, and in the usual one the
+    condition reaches the scan.
     """
-    return df.where(recent | ~df.where(recent).exists())
+    found = df.where(recent)
+    return df if found.isEmpty() else found
 
 
 def high_water_mark(audit: DataFrame, keys: list[str], column: str) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.settings import work_path
+#: Below cold storage, hidden from its readers: staged rows and manifests.
+MOVES = "_moves"
 
 
 def replace_partitions(df: DataFrame, path: str, by: list[str], sort: list[str] | None = None) -> None:
@@ -37,36 +40,122 @@ def _existing(reader: DataFrameReader, path: str) -> DataFrame | None:
         return None
 
 
-def move_day_to_cold(spark: SparkSession, hot_path: str, cold_path: str, day: str, stamp: str = "updated_at") -> int:
-    """Copy one day from hot to cold storage, verify it, then empty it there.
+def _hadoop(spark: SparkSession, name: str):
+    """(file system, path) of a name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _write_manifest(spark: SparkSession, folder: str, manifest: dict) -> None:
+    """One small file, there whole or not at all: written under another name, then renamed."""
+    system, draft = _hadoop(spark, f"{folder}/draft")
+    out = system.create(draft, True)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    if not system.rename(draft, _hadoop(spark, f"{folder}/manifest")[1]):
+        raise OSError(f"the manifest in {folder} could not be put in place")
+
+
+def _read_manifest(spark: SparkSession, folder: str) -> dict | None:
+    system, path = _hadoop(spark, f"{folder}/manifest")
+    if not system.exists(path):
+        return None
+    return json.loads("".join(r[0] for r in spark.read.text(path.toString(), wholetext=True).collect()))
+
+
+def merged_rows(old: DataFrame, new: DataFrame, keys: list[str] | None, stamp: str | None) -> DataFrame:
+    """The rows of both, with the columns of both.
+
+    With keys: per key the row of the latest stamp, the new one of equals; rows with a null key count by
+    content. Without: rows that are equal in content (a missing column counts as null) stay as often as the
+    side that has more of them. Any column type will do, maps too.
+    """
+    both = old.withColumn("_side", F.lit(0)).unionByName(new.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    columns = sorted(c for c in both.columns if c != "_side")
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    digest = F.sha2(F.to_json(row), 256)
+    if keys:
+        known = F.lit(True)
+        for key in keys:
+            known = known & F.col(key).isNotNull()
+        owner = F.when(known, F.to_json(F.struct(*keys))).otherwise(digest)
+        last = F.struct(*([F.col(stamp)] if stamp else []), F.col("_side"), F.col("_digest"))
+        held = both.select(owner.alias("_owner"), digest.alias("_digest"), "_side", row.alias("_row"), *([F.col(stamp)] if stamp else []))
+        kept = held.groupBy("_owner").agg(F.max_by("_row", last).alias("_row"))
+    else:
+        held = both.select(digest.alias("_digest"), "_side", row.alias("_row"))
+        counted = held.groupBy("_digest").agg(
+            F.max_by("_row", "_side").alias("_row"), F.greatest(F.count_if(F.col("_side") == 0), F.count_if(F.col("_side") == 1)).alias("_copies")
+        )
+        kept = counted.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in columns])
+
+
+def read_cold(spark: SparkSession, cold_path: str) -> DataFrame:
+    """Cold storage with the columns of all its days."""
+    return spark.read.option("mergeSchema", "true").parquet(cold_path)
+
 
-    Rows that cold already holds stay, so late rows can follow in a second
-    move, and a repeated move adds nothing. Only the files that were read are
-    deleted, and only after the row counts agree; what lands meanwhile stays hot.
+def stage_move(spark: SparkSession, hot_path: str, cold_path: str, day: str, keys: list[str] | None = None, stamp: str | None = "updated_at") -> bool:
+    """First phase: one day's rows, hot and cold together, written aside; a manifest names the files that were read.
+
+    False if there is nothing to move. Nothing that readers see has changed.
     """
+    folder = f"{cold_path}/{MOVES}/{day}"
     hot = _existing(spark.read.option("basePath", hot_path), f"{hot_path}/day={day}")
-    moved = hot.count() if hot is not None else 0
-    if moved == 0:
+    if hot is None:
+        return False
+    names = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f)).toString() for f in hot.inputFiles()]
+    if not names:
+        return False
+    # exactly these files: what lands meanwhile waits for the next move
+    found = spark.read.option("basePath", hot_path).option("mergeSchema", "true").parquet(*names).withColumn("day", F.lit(day).cast("date"))
+    moved = found.count()
+    if not moved:
+        return False
+    cold = _existing(spark.read.option("mergeSchema", "true"), cold_path)
+    before = found.limit(0) if cold is None else cold.where(F.col("day") == F.lit(day).cast("date"))
+    merged_rows(before, found, keys, stamp).write.mode("overwrite").parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows").count()
+    _write_manifest(spark, folder, {"files": names, "moved": moved, "rows": rows})
+    return True
+
+
+def finish_move(spark: SparkSession, cold_path: str, day: str, sort: list[str] | None = None) -> int:
+    """Second phase: replace the day in cold storage by the staged rows, check them, delete the files of the manifest.
+
+    Can be repeated after a crash at any point; without a manifest there is nothing to do. Returns the rows
+    that were read from hot storage.
+    """
+    folder = f"{cold_path}/{MOVES}/{day}"
+    manifest = _read_manifest(spark, folder)
+    if manifest is None:
         return 0
-    files = hot.inputFiles()
-    cold = _existing(spark.read, cold_path)
-    if cold is None:
-        whole = hot
-    else:
-        before = cold.where(F.col("day") == F.lit(day).cast("date"))
-        same = hot.select(*before.columns)
-        # the day is read and replaced in one place: write it aside first
-        aside = work_path(spark, "cold")
-        before.unionByName(same.exceptAll(before)).write.parquet(aside)
-        whole = spark.read.parquet(aside)
-    expected = whole.count()
-    replace_partitions(whole, cold_path, ["day"], [stamp])
-    stored = spark.read.parquet(cold_path).where(F.col("day") == F.lit(day).cast("date")).count()
-    if stored != expected:
-        raise ValueError(f"{stored} of {expected} rows of {day} reached cold storage")
-    for name in files:
-        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+    staged = spark.read.parquet(f"{folder}/rows")
+    replace_partitions(staged, cold_path, ["day"], sort)
+    stored = read_cold(spark, cold_path).where(F.col("day") == F.lit(day).cast("date"))
+    lost = sorted(set(staged.columns) - set(stored.columns))
+    count = stored.count()
+    if count != manifest["rows"] or lost:
+        raise ValueError(f"{count} of {manifest['rows']} rows of {day} reached cold storage; columns missing there: {lost}")
+    for name in manifest["files"]:
+        system, path = _hadoop(spark, name)
+        system.delete(path, False)
+    system, path = _hadoop(spark, folder)
+    system.delete(path, True)
+    return manifest["moved"]
+
+
+def move_day_to_cold(spark: SparkSession, hot_path: str, cold_path: str, day: str, stamp: str = "updated_at", keys: list[str] | None = None) -> int:
+    """Move one day from hot to cold storage in two phases; returns the rows read from hot storage.
+
+    A move that was cut off is finished first. Rows that cold already holds stay, with the columns of both
+    (see `merged_rows`), so late rows and rows with new columns can follow, and a repeated move adds nothing.
+    """
+    sort = [stamp]
+    moved = finish_move(spark, cold_path, day, sort)
+    if stage_move(spark, hot_path, cold_path, day, keys, stamp):
+        moved += finish_move(spark, cold_path, day, sort)
     return moved
 
 

@@ -95,6 +95,18 @@ def s13(t):
     return S.day_texts(records, "born")
 
 
+@query(
+    "s13_quoted_cells",
+    """SELECT p_partkey AS row_id, 'say "' || p_name || '", twice' AS name, 'plain "' || p_brand || '" cell' AS note FROM part WHERE p_size % 3 <> 0""",
+)
+def s13_quoted(t):
+    """Doubled quotes inside quoted cells, quotes inside plain ones; in every third part a comma makes them three."""
+    quoted = F.concat(F.lit('"say ""'), "p_name", F.lit('"", twice"'))
+    plain = F.concat(F.lit('plain "'), F.when(F.col("p_size") % 3 == 0, "x, y").otherwise(F.col("p_brand")), F.lit('" cell'))
+    lines = t.part.select(F.col("p_partkey").alias("row_id"), F.concat_ws(",", quoted, plain).alias("value"))
+    return parse_lines(lines, [TypedField("name", "text"), TypedField("note", "text")])[0]
+
+
 @query("q05_column_count_reject", "SELECT p_partkey AS row_id FROM part WHERE NOT (p_size BETWEEN 5 AND 40)")
 def q05(t):
     _, rejected = parse_lines(_lines(t), FIELDS)

@@ -10,6 +10,7 @@ from harborline.operators import merge as M
 from harborline.operators import scd
 from harborline.settings import work_path
 from harborline.sinks import audit, tables
+from harborline.sources import files
 from harborline.streaming import jobs
 
 
@@ -40,6 +41,27 @@ def k04(t):
     return rows.select("execution_id", "source_detail", "landing_time", "rows_processed", "process_status", "error_message")
 
 
+@query(
+    "k04_empty_file",
+    """SELECT 'p_' || o_orderpriority || '.csv' AS source_detail, CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE count(*) END AS rows_processed,
+              CASE WHEN o_orderpriority = '5-LOW' THEN 'FAILURE' ELSE 'SUCCESS' END AS process_status, TRUE AS position_moved FROM orders GROUP BY o_orderpriority""",
+)
+def k04_empty(t):
+    """One file per priority, one of them with a header only; the listing comes from storage."""
+    inbox = work_path(t.spark, "deliveries")
+    rows = t.orders.select("o_orderkey", F.concat(F.lit("p_"), "o_orderpriority", F.lit(".csv")).alias("file"))
+    for name in sorted(r[0] for r in rows.select("file").distinct().collect()):  # one folder per delivered file
+        held = rows.where(F.col("file") == name).select("o_orderkey")
+        held.where(F.lit("5-LOW" not in name)).coalesce(1).write.option("header", "true").csv(f"{inbox}/{name}")
+    folder = lambda c: F.element_at(F.split(c, "/"), -2)
+    found = files.list_files(t.spark, [inbox])
+    listing = found.select(folder("path").alias("source_detail"), F.col("generation").alias("landing_time"))
+    loaded = t.spark.read.schema("o_orderkey long").option("header", "true").option("recursiveFileLookup", "true").csv(inbox).withColumn("file", folder(files.plain_path(F.col("_metadata.file_path"))))
+    stamp = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    rows = audit.audit_rows(loaded, "file", execution_id="run-1", process_name="orders", source_name="vendor", target_table="raw", started=stamp, finished=stamp, listing=listing)
+    return rows.select("source_detail", "rows_processed", "process_status", (F.col("landing_time") > 0).alias("position_moved"))
+
+
 @query(
     "k05_error_rows",
     """SELECT 'run-1' AS execution_id, CAST(NULL AS VARCHAR) AS identity, CAST(o_custkey AS VARCHAR) AS phone, o_orderpriority AS email, 'orders.parquet' AS file_name,
@@ -129,6 +151,23 @@ def k11(t):
     return tables.verify_split(t.spark, t.lineitem, path)
 
 
+@query(
+    "k11_part_headers",
+    """SELECT 'l_linenumber,l_orderkey' AS header, FALSE AS same, FALSE AS complete, count(*) AS rows FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2, 3
+       UNION ALL SELECT 'l_orderkey,l_linenumber', TRUE, FALSE, count(*) FROM lineitem WHERE l_returnflag <> 'R'""",
+)
+def k11_headers(t):
+    """A split some of whose parts have their columns in another order: the totals agree, the headers don't."""
+    path, source = work_path(t.spark, "split"), t.lineitem.select("l_orderkey", "l_linenumber")
+    returned = t.lineitem["l_returnflag"] == "R"
+    for part, columns in ((t.lineitem.where(~returned), source.columns), (t.lineitem.where(returned), source.columns[::-1])):
+        part.select(*columns).coalesce(1).write.mode("append").option("header", "true").csv(path)
+    heads = tables.part_headers(t.spark, source, path)
+    lines = t.spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("part")).agg((F.count(F.lit(1)) - 1).alias("rows"))
+    complete = tables.verify_split(t.spark, source, path).select("complete").scalar()
+    return heads.join(lines, "part").groupBy("header", "same").agg(F.sum("rows").alias("rows")).withColumn("complete", complete)
+
+
 @query(
     "k12_append_once",
     """SELECT l_orderkey, l_linenumber, CAST(max(l_partkey) AS BIGINT) AS l_partkey FROM lineitem GROUP BY 1, 2""",

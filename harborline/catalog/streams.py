@@ -46,6 +46,51 @@ def r02_state(t):
     return newest.select("user_id", "event_id", "event_type", "value")
 
 
+@query("r02_compacted_state", _LATEST)
+def r02_compacted(t):
+    """Five deliveries; the log is folded into a snapshot after the second and the fourth."""
+    inbox, out = work_path(t.spark, "deliveries"), work_path(t.spark, "compacted-events")
+    for part in range(5):
+        t.events.where(F.col("event_id") % 5 == part).write.mode("append").parquet(inbox)
+        state = jobs.last_value_per_key(jobs.file_stream(t.spark, inbox, t.events.schema), ["user_id"], ["ts", "event_id"])
+        jobs.update_to(state, out, out + "-checkpoint").awaitTermination()
+        if part % 2:
+            jobs.compact(t.spark, out, ["user_id"])
+    return jobs.read_state(t.spark, out, ["user_id"]).select("user_id", "event_id", "event_type", "value")
+
+
+@query("r04_restart", "SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, 2 AS starts FROM events GROUP BY 1")
+def r04(t):
+    """A batch is written, then the query fails before it commits; the restart replaces the batch under its number."""
+    inbox, out = work_path(t.spark, "restart-in"), work_path(t.spark, "restart-out")
+    rows, failed = t.events.select("event_id", "event_type"), []
+    for part in range(2):
+        rows.where(F.col("event_id") % 2 == part).write.mode("append").parquet(inbox)
+
+    def write(batch, number):
+        batch.write.mode("overwrite").parquet(f"{out}/_batch={number}")
+        if not failed:
+            failed.append(number)
+            raise RuntimeError("lost between write and commit")
+
+    start = lambda: jobs.batch_sink(jobs.file_stream(t.spark, inbox, rows.schema), write, out + "-checkpoint", "10 seconds" if not failed else None)
+    starts = jobs.run_with_restarts(start)
+    done = t.spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+    return done.withColumn("starts", F.lit(starts))
+
+
+@query(
+    "k14_tap",
+    f"""SELECT 'before' AS side, event_type, count(*) AS n FROM events GROUP BY 1, 2
+        UNION ALL SELECT 'after', event_type, count(*) FROM ({_LATEST}) GROUP BY 1, 2""",
+)
+def k14(t):
+    out = work_path(t.spark, "tap")
+    jobs.tap(_events(t), ["user_id"], ["ts", "event_id"], out, out + "-checkpoint").awaitTermination()
+    side = lambda name: t.spark.read.parquet(f"{out}/{name}").groupBy(F.lit(name).alias("side"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return side("before").unionByName(side("after"))
+
+
 @query(
     "r05_stream_value_bursts",
     """SELECT user_id, count(*) AS failed_count, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end
@@ -58,13 +103,30 @@ def r05_stream(t):
     return jobs.newest_state(t.spark.read.parquet(out), ["user_id", "window_start", "window_end"])
 
 
-@query(
-    "r05_payment_bursts",
+_PAYMENT_BURSTS = (
     f"""WITH {S.BRONZE_ORDERS}, {S.BRONZE_PAYMENTS},
         latest_payments AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY payment_id ORDER BY updated_at DESC, status DESC, amount DESC) AS rn FROM bronze_payments) WHERE rn = 1)
         SELECT o.user_id, count(*) AS failed_count, time_bucket(INTERVAL 5 MINUTE, payment_date) AS window_start, time_bucket(INTERVAL 5 MINUTE, payment_date) + INTERVAL 5 MINUTE AS window_end
-        FROM latest_payments p LEFT JOIN latest_orders o ON p.order_id = o.order_id WHERE status = 'failed' GROUP BY 1, 3 HAVING count(*) >= 3""",
+        FROM latest_payments p LEFT JOIN latest_orders o ON p.order_id = o.order_id WHERE status = 'failed' GROUP BY 1, 3 HAVING count(*) >= 3"""
 )
+
+
+@query("r05_stream_payment_bursts", _PAYMENT_BURSTS)
+def r05_stream_payments(t):
+    """Three failed payments in five minutes, from a stream in three deliveries with a compaction between them."""
+    payments = latest_by_key(S.bronze_payments(t), ["payment_id"], ["updated_at", "status", "amount"])
+    users = latest_by_key(S.bronze_orders(t), ["order_id"], ["updated_at", "order_status"]).select("order_id", "user_id")
+    stated = payments.join(users, "order_id", "left").select("payment_id", "user_id", "payment_date", "status")
+    inbox, out, keys = work_path(t.spark, "payments"), work_path(t.spark, "payment-bursts"), ["user_id", "window_start", "window_end"]
+    for part in range(3):
+        stated.where(F.col("payment_id") % 3 == part).write.mode("append").parquet(inbox)
+        found = jobs.bursts(jobs.file_stream(t.spark, inbox, stated.schema), "user_id", "payment_date", F.col("status") == "failed", 3)
+        jobs.update_to(found, out, out + "-checkpoint").awaitTermination()
+        jobs.compact(t.spark, out, keys)
+    return jobs.read_state(t.spark, out, keys)
+
+
+@query("r05_payment_bursts", _PAYMENT_BURSTS)
 def r05(t):
     return marts.abnormal_payments(S.bronze_payments(t), S.bronze_orders(t))
 

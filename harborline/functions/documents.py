@@ -41,7 +41,9 @@ def scalar_at(document: Column, path: str) -> Column:
     """Scalar at a JSON path; objects and arrays give null."""
     value = F.get_json_object(document, path)
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(document), path, "variant"))
-    return F.when(~value.rlike(r"^\s*[\[{]"), value).when(kind == "STRING", value)
+    # a document that repeats a key has no variant; there, what isn't JSON itself must have been a text
+    text = (kind == "STRING") | (kind.isNull() & F.try_parse_json(value).isNull())
+    return F.when(~value.rlike(r"^\s*[\[{]"), value).when(text, value)
 
 
 def elements(document: Column, element_type: str = "string") -> Column:

@@ -26,16 +26,24 @@ def audit_rows(
     valid: Column | None = None,
     load_type: str = "incremental",
     load_source_type: str = "file",
+    listing: DataFrame | None = None,
 ) -> DataFrame:
     """One audit row per source file, counted in one pass over the load.
 
-    A file of which no row was accepted is a failure.
+    A file of which no row was accepted is a failure. With a listing
+    (source_detail, landing_time) every listed file gets a row, also one that
+    is empty or was not read at all, and the position moves past it.
     """
     accepted = F.count_if(valid) if valid is not None else F.count(F.lit(1))
     position = F.max(landing_time) if landing_time else F.lit(None).cast("long")
     counted = loaded.groupBy(F.col(per).alias("source_detail")).agg(
         accepted.alias("rows_processed"), position.alias("landing_time")
     )
+    if listing is not None:
+        listed = listing.groupBy("source_detail").agg(F.max("landing_time").alias("_landed"))
+        counted = counted.join(listed, "source_detail", "full").select(
+            "source_detail", F.coalesce("rows_processed", F.lit(0).cast("long")).alias("rows_processed"), F.coalesce("_landed", "landing_time").alias("landing_time")
+        )
     empty = F.col("rows_processed") == 0
     constants = {
         "execution_id": F.lit(execution_id),

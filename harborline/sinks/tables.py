@@ -210,20 +210,33 @@ def split_files(df: DataFrame, path: str, order: list[str], files: int | None =
 
 
 def verify_split(spark: SparkSession, source: DataFrame, path: str) -> DataFrame:
-    """(source_rows, split_rows, same_header, complete) of a finished split."""
-    parts = spark.read.option("header", "true").csv(path)
-    same_header = F.lit(parts.columns == source.columns)
+    """(source_rows, split_rows, same_header, complete) of a finished split; every part must have the source's header."""
     counted = source.agg(F.count(F.lit(1)).alias("source_rows"))
-    split = parts.agg(F.count(F.lit(1)).alias("n"))
+    split = spark.read.option("header", "true").csv(path).agg(F.count(F.lit(1)).alias("n"))
+    heads = part_headers(spark, source, path).agg(F.coalesce(F.bool_and("same"), F.lit(False)).alias("same"))
     return counted.select(
-        "source_rows", split.scalar().alias("split_rows"), same_header.alias("same_header")
+        "source_rows", split.scalar().alias("split_rows"), heads.scalar().alias("same_header")
     ).withColumn("complete", (F.col("source_rows") == F.col("split_rows")) & F.col("same_header"))
 
 
+def part_headers(spark: SparkSession, source: DataFrame, path: str) -> DataFrame:
+    """(part, header, same) for every file of a split: its first line, and whether it names the source's columns in order.
+
+    Only a file's first block is looked at, and a task keeps one line of it.
+    """
+    lines = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
+    first = lines.select(F.col("_metadata.file_path").alias("part"), "value", F.monotonically_increasing_id().alias("at"))
+    heads = first.groupBy("part").agg(F.min_by("value", "at").alias("header"))
+    cells = F.from_csv("header", ", ".join(f"c{i} string" for i in range(len(source.columns))) + ", _corrupt string", {"columnNameOfCorruptRecord": "_corrupt", "escape": '"'})
+    named = F.array(*[F.col(f"_cells.c{i}") for i in range(len(source.columns))])
+    same = F.col("_cells._corrupt").isNull() & F.coalesce(named == F.array(*[F.lit(c) for c in source.columns]), F.lit(False))
+    return heads.withColumn("_cells", cells).select("part", "header", same.alias("same"))
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], batch_size: int = 1000, connections: int = 8) -> None:
-    """Batched inserts over a bounded number of connections."""
+    """Batched inserts over a bounded number of connections; what comes before keeps its own parallelism."""
     (
-        df.coalesce(connections)
+        df.repartition(connections)
         .write.mode("append")
         .option("batchsize", batch_size)
         .jdbc(url, table, properties=properties)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harborline.functions.text import to_flag
+from harborline.operators.once import once
 
 DATA_FILE_GLOB = "*.{[cC][sS][vV],[jJ][sS][oO][nN]}"
 
@@ -31,6 +32,11 @@ def list_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
+def plain_path(uri: Column) -> Column:
+    """The path that a file's URI (``_metadata.file_path``) stands for, as listings show it."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def _by_header(spark: SparkSession, paths: str | list[str], splittable: bool) -> DataFrame:
     """CSV files as text columns, each file read under its own header line.
 
@@ -133,16 +139,16 @@ def parse_lines(lines: DataFrame, fields: list[TypedField], line: str = "value")
     """(records, rejected lines) of CSV text lines.
 
     A line with another number of columns is rejected whole; a value that does
-    not fit its type becomes null. Columns are counted by the commas that are
-    left once quoted cells are taken out.
+    not fit its type becomes null. The parser that reads the cells also counts
+    them: doubled quotes stand for one inside a quoted cell, and a quote inside
+    a plain cell is an ordinary character.
     """
-    bare = F.regexp_replace(F.col(line), '"([^"]|"")*"', "")
-    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
-    fits = F.coalesce(commas == len(fields) - 1, F.lit(False))
     cells = ", ".join(f"c{i} string" for i in range(len(fields)))
-    parsed = lines.where(fits).withColumn("_cells", F.from_csv(F.col(line), cells))
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = once(lines, {"_cells": F.from_csv(F.col(line), f"{cells}, _corrupt string", options)})
+    fits = F.coalesce((F.col(line) != "") & F.col("_cells").isNotNull() & F.col("_cells._corrupt").isNull(), F.lit(False))
     rest = [c for c in lines.columns if c != line]
-    records = parsed.select(
+    records = parsed.where(fits).select(
         *rest, *[_typed(f, F.col(f"_cells.c{i}")).alias(f.name) for i, f in enumerate(fields)]
     )
-    return records, lines.where(~fits)
+    return records, parsed.where(~fits).select(*lines.columns)

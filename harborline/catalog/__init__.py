@@ -11,6 +11,7 @@ from harborline.catalog import (  # noqa: F401
     sinks,
     sources,
     streams,
+    vendor,
     windows,
 )
 from harborline.catalog.registry import ORACLES, QUERIES

@@ -294,7 +294,8 @@ def c09_sale(t):
             SELECT *, pow(sin(radians(dest_lat - latitude) / 2), 2) + cos(radians(latitude)) * cos(radians(dest_lat)) * pow(sin(radians(dest_lon - longitude) / 2), 2) AS a FROM telemetry))""",
 )
 def c10_positions(t):
-    return flights.positions(flights.flights(telemetry(t))).select(
+    reports = flights.flights(telemetry(t), columns=["flight_id", "airline", *flights.POSITION_INPUT])
+    return flights.positions(reports).select(
         "flight_id", "airline", F.round("remaining_distance_km", 3).alias("remaining_distance_km"), F.round("completion_pct", 5).alias("completion_pct")
     )
 
@@ -307,7 +308,7 @@ def c10_positions(t):
         FROM (SELECT *, CAST(date_diff('minute', scheduled, arrival) AS DOUBLE) AS delay FROM telemetry) WHERE flight_status = 'Landed'""",
 )
 def c10_landed(t):
-    landed = flights.landings(flights.flights(telemetry(t)))
+    landed = flights.landings(flights.flights(telemetry(t), columns=flights.LANDED_COLUMNS))
     return S.day_texts(landed.select("flight_id", "airline", "departure_delay_min", "arrival_delay_min", "delayed_status", "flight_date"), "flight_date")
 
 

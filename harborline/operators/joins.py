@@ -44,14 +44,23 @@ def salted_join(
 ) -> DataFrame:
     """Inner or left equi-join in which only the frequent left keys are salted.
 
+    Rows with a null in a key match nothing: an inner join leaves them out
+    first, in a left join they are spread over salts of their own.
     The list of frequent keys has at most ``1/share`` entries by construction,
     which is what makes broadcasting it safe. Their right rows are repeated per
     salt; all other right rows are sent once.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    frequent = F.broadcast(frequent_keys(left, on, share).withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(0)
+    missing = F.lit(False)
+    for key in on:
+        missing = missing | F.col(key).isNull()
+    if how == "inner":
+        left = left.where(~missing)
+    right = right.where(~missing)
+    frequent = F.broadcast(frequent_keys(left.where(~missing), on, share).withColumn("_hot", F.lit(True)))
+    slot = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    salt = F.when(missing, -1 - slot).when(F.col("_hot"), slot).otherwise(0)
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_left = left.join(frequent, on, "left").withColumn("_salt", salt).drop("_hot")
     salted_right = right.join(frequent, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from harborline.functions.dates import delay_band, minutes_between
 from harborline.functions.geo import completion_pct, great_circle_km
@@ -28,16 +29,38 @@ LANDED_COLUMNS = [
 ]
 
 
-def flights(raw: DataFrame, value: str = "data") -> DataFrame:
-    """One flat row per flight of each JSON batch."""
-    parsed = raw.select(F.from_json(F.col(value).cast("string"), TELEMETRY_SCHEMA).alias("batch"))
+LOCATION = ["latitude", "longitude"]
+#: What each result reads of a report.
+POSITION_INPUT = ["latitude", "longitude", "dest_lat", "dest_lon", "distance_travelled_km"]
+
+
+def wire_schema(columns: list[str] | None = None) -> T.StructType:
+    """The batch schema with only the fields behind these flat columns: what isn't asked for isn't read."""
+    whole = T.StructType.fromDDL(TELEMETRY_SCHEMA)
+    if columns is None:
+        return whole
+    report = whole["flights"].dataType.elementType
+    unknown = sorted(set(columns) - {f.name for f in report.fields if f.name != "current_location"} - set(LOCATION))
+    if unknown:
+        raise ValueError(f"reports have no {unknown}")
+    place = T.StructType([f for f in report["current_location"].dataType.fields if f.name in columns])
+    fields = [T.StructField(f.name, place) if f.name == "current_location" else f for f in report.fields if f.name in columns or (f.name == "current_location" and place.fields)]
+    return T.StructType([T.StructField("flights", T.ArrayType(T.StructType(fields)))])
+
+
+def flights(raw: DataFrame, value: str = "data", columns: list[str] | None = None) -> DataFrame:
+    """One flat row per flight of each JSON batch, with all columns or only these.
+
+    A consumer that names its columns has the parser skip the other fields.
+    """
+    schema = wire_schema(columns)
+    parsed = raw.select(F.from_json(F.col(value).cast("string"), schema).alias("batch"))
     # the outer form keeps the engine from adding a filter that parses again
     exploded = parsed.select(F.explode_outer("batch.flights").alias("f"))
     flight = exploded.where(F.col("f").isNotNull()).select("f.*")
     return flight.select(
         *[c for c in flight.columns if c != "current_location"],
-        F.col("current_location.latitude").alias("latitude"),
-        F.col("current_location.longitude").alias("longitude"),
+        *[F.col(f"current_location.{c}").alias(c) for c in LOCATION if columns is None or c in columns],
     )
 
 

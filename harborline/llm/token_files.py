@@ -37,59 +37,89 @@ BLOCK_ROWS, BLOCK_BYTES = 1024, 4 << 20
 SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES, LEVEL = 1000, 4096, 32_768, 3
 BLOCKS = "part int, first long, last long, ids_before long, dictionary string, doc_ids array<long>, counts array<long>, offsets array<long>, frames binary"
 
-_loaded: dict[str, Encoder] = {}
+_loaded: dict[tuple[str, bool], Encoder] = {}
 _UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Characters that Python takes for white space and the tokenizer doesn't.
 _ODD = re.compile("[\x1c-\x1f]")
+# The tokenizer's own pattern for texts of ASCII and Latin-1 letters, marks and digits.
+_LETTERS, _DIGITS = "a-zA-ZªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾"
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_DIGITS}]+| ?[^\s{_LETTERS}{_DIGITS}]+")
+_PLAIN = re.compile(" ?[!-~¡-¬®-ÿ]+")
+#: Units kept per process; new pieces encoded as one text; longer units aren't kept.
+MEMO, TOGETHER, LONG = 700_000, 500, 64
+_BETWEEN = "\0"
 
 
 class Encoder:
-    """A byte-level BPE tokenizer. A word with the space before it is encoded once per task: the tokenizer never merges across such places."""
+    """A byte-level BPE tokenizer whose results are remembered by unit: a word with the space before it, or white space.
 
-    def __init__(self, path: str):
+    The tokenizer never merges across units. New units are cut into pieces by the tokenizer's own pattern,
+    new pieces encoded many at once, and cut apart by the bytes that their ids stand for.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, names))) if names and not special_as_text else None
+        # the same model behind a cut at a character that no piece holds
+        self.pieces = Tokenizer.from_file(path)
+        self.pieces.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(_BETWEEN, "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.widths = np.zeros(1 + max(vocabulary.values()), np.int64)  # in this kind of vocabulary a character is a byte
+        for token, number in vocabulary.items():
+            self.widths[number] = len(token)
         self.memo: dict[str, bytes] = {}
 
-    def _new(self, units: list[str]) -> None:
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, units: list[str]) -> None:
+        """Ids of new units and their pieces into the memory."""
         memo = self.memo
-        for at in range(0, len(units), 4096):
-            part = units[at : at + 4096]
-            for unit, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                memo[unit] = array("I", encoding.ids).tobytes()
+        easy = [u for u in units if _PLAIN.fullmatch(u)]
+        hard = [u for u in units if not _PLAIN.fullmatch(u)] if len(easy) < len(units) else []
+        cut = [_PIECES.findall(u) for u in easy]
+        fresh = list(set().union(*cut).difference(memo))
+        for at in range(0, len(fresh), TOGETHER):
+            part = fresh[at : at + TOGETHER]
+            ids = np.array(self.pieces.encode_batch_fast([_BETWEEN.join(part)], add_special_tokens=False)[0].ids, "<u4")
+            bytes_to, ends = np.cumsum(self.widths[ids]), np.cumsum([len(p.encode()) for p in part])
+            stops = np.searchsorted(bytes_to, ends) + 1
+            if (bytes_to[stops - 1] != ends).any():
+                raise ValueError("the tokenizer's ids don't cover these texts")
+            raw, stops = ids.tobytes(), (4 * stops).tolist()
+            memo.update((piece, raw[a:b]) for piece, a, b in zip(part, [0, *stops], stops))
+        memo.update((unit, b"".join([memo[p] for p in pieces])) for unit, pieces in zip(easy, cut) if len(pieces) > 1)
+        memo.update(zip(hard, self._whole(hard)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
-        if len(self.memo) > 1_000_000:
+        if len(self.memo) > MEMO:
             self.memo.clear()
-        memo, look = self.memo, self.memo.get
-        cut = [[] if not t else None if _ODD.search(t) else _UNIT.findall(t) for t in texts]
-        parts = [list(map(look, units)) if units else [] for units in cut]
-        fresh = {u for units, got in zip(cut, parts) if None in got for u, g in zip(units, got) if g is None}
-        self._new(list(fresh))
-        out = []
-        for text, units, got in zip(texts, cut, parts):
-            if units is None:
-                out.append(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
-                continue
-            if None in got:
-                got = [memo[u] if g is None else g for u, g in zip(units, got)]
-            out.append(b"".join(got))
-        for unit in [u for u in fresh if len(u) > 64]:
-            del memo[unit]
+        whole = {i: t for i, t in enumerate(texts) if t and (_ODD.search(t) or (self.special and self.special.search(t)))}
+        units = [[] if not t or i in whole else _UNIT.findall(t) for i, t in enumerate(texts)]
+        new = set().union(*units).difference(self.memo)
+        self._learn(list(new))
+        out = [b"".join(map(self.memo.__getitem__, some)) for some in units]
+        for (i, _), ids in zip(whole.items(), self._whole(list(whole.values()))):
+            out[i] = ids
+        for unit in new:
+            if len(unit) > LONG:
+                del self.memo[unit]
         return out
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
+    if (path, special_as_text) not in _loaded:
+        _loaded[path, special_as_text] = Encoder(path, special_as_text)
+    return _loaded[path, special_as_text]
 
 
-def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
+def train_dictionary(docs: DataFrame, tokenizer: str, special_as_text: bool = False) -> bytes:
     """A dictionary from the ids of short documents; empty if there are too few to train one."""
     import zstandard
 
@@ -99,7 +129,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(encoder(tokenizer).encode(batch.column(1).to_pylist()), pa.binary())], names=["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(encoder(tokenizer, special_as_text).encode(batch.column(1).to_pylist()), pa.binary())], names=["doc_id", "ids"])
 
     chosen = short.where(F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1_000_003)) < share * 1_000_003)
     samples = chosen.mapInArrow(ids, "doc_id long, ids binary").orderBy("doc_id", "ids").toArrow().column("ids").to_pylist()
@@ -111,13 +141,13 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
         return b""
 
 
-def _frames(tokenizer: str, dictionary: bytes, mark: str):
+def _frames(tokenizer: str, special_as_text: bool, dictionary: bytes, mark: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         held = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=True)
-        encode, part = encoder(tokenizer), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer, special_as_text), TaskContext.get().partitionId()
         keys, counts, frames, before = [], [], [], 0
 
         def block() -> pa.RecordBatch:
@@ -145,19 +175,20 @@ def _frames(tokenizer: str, dictionary: bytes, mark: str):
     return run
 
 
-def write(docs: DataFrame, path: str, tokenizer: str) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, special_as_text: bool = False) -> None:
     """Encode every row with a doc_id and write the blocks under `path`, in ascending doc_id order.
 
     Null text counts as empty; every document ends with id 2. Rows that repeat a doc_id are written
-    each, ordered by text. Extra columns are left out.
+    each, ordered by text. Extra columns are left out. The strings of special tokens in a text become those
+    tokens, as the library does it by default, or with special_as_text ordinary text.
     """
     spark = prepare_llm(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    dictionary = train_dictionary(source, tokenizer)
+    dictionary = train_dictionary(source, tokenizer, special_as_text)
     mark = hashlib.sha256(dictionary).hexdigest()[:16]
     spark.createDataFrame([(mark, bytearray(dictionary))], "mark string, dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
     ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_frames(tokenizer, dictionary, mark), BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    ordered.mapInArrow(_frames(tokenizer, special_as_text, dictionary, mark), BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:

@@ -82,7 +82,8 @@ class Encoder:
         memo = self.memo
         easy = [u for u in units if _PLAIN.fullmatch(u)]
         hard = [u for u in units if not _PLAIN.fullmatch(u)] if len(easy) < len(units) else []
-        cut = [_PIECES.findall(u) for u in easy]
+        # letters alone are one piece
+        cut = [(u,) if u.isalpha() or u[0] == " " and u[1:].isalpha() else _PIECES.findall(u) for u in easy]
         fresh = list(set().union(*cut).difference(memo))
         for at in range(0, len(fresh), TOGETHER):
             part = fresh[at : at + TOGETHER]
@@ -132,7 +133,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str, special_as_text: bool = Fa
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(encoder(tokenizer, special_as_text).encode(batch.column(1).to_pylist()), pa.binary())], names=["doc_id", "ids"])
 
     chosen = short.where(F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1_000_003)) < share * 1_000_003)
-    samples = chosen.mapInArrow(ids, "doc_id long, ids binary").orderBy("doc_id", "ids").toArrow().column("ids").to_pylist()
+    # a bounded sample; sorted here, as sorting there would encode it twice
+    samples = chosen.mapInArrow(ids, "doc_id long, ids binary").toArrow().sort_by([("doc_id", "ascending"), ("ids", "ascending")]).column("ids").to_pylist()
     if sum(map(len, samples)) < 8 * DICTIONARY_BYTES or len(samples) < 50:
         return b""
     try:

@@ -17,6 +17,7 @@ worst sentence's margin, fitted to the documents' labels.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -38,6 +39,10 @@ FLOOR = 0.25
 GATE = 0.75
 #: Share of landmarks that may be there by chance, and documents of each label that are fitted for a landmark's sake.
 FALSE, EACH_MARK = 0.01, 20
+#: Share of a landmark's squared length that other landmarks need not span.
+SPAN = 0.2
+#: Bits of the filter that finds telling strings in a second pass.
+FILTER_BITS = 1 << 23
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2,}")
@@ -304,50 +309,115 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from told()
 
 
-def _telling(counted: DataFrame, n: dict[int, int]) -> list:
-    """The strings (word, toxic, clean) that are telling, the most telling first, by Benjamini and Hochberg's cut.
+def _telling(counted: DataFrame, n: dict[int, int], toxic: str = "toxic", clean: str = "clean") -> DataFrame:
+    """The rows of telling strings with `sure`, by Benjamini and Hochberg's cut.
 
     A string is tested if it is in so many documents that it could pass alone. Were labels dealt by chance, a string
     of s documents would be in this many toxic ones with a probability of at most exp(-sure) (Chernoff's bound);
     strings less than four times as frequent in toxic documents are never telling.
     """
     chance = n[1] / (n[0] + n[1])
-    tested = counted.where(F.col("toxic") + F.col("clean") >= float(np.log(FALSE) / np.log(chance)))
-    part = lambda count, share: F.when(F.col(count) == 0, 0.0).otherwise(F.col(count) * F.log(F.col(count) / (F.col("toxic") + F.col("clean")) / share))
-    more = F.col("toxic") * n[0] > F.col("clean") * (4 * n[1])
-    sure = stored(tested.withColumn("sure", F.when(more, part("toxic", chance) + part("clean", 1 - chance)).otherwise(0.0)), "sure")
+    tested = counted.where(F.col(toxic) + F.col(clean) >= float(np.log(FALSE) / np.log(chance)))
+    part = lambda count, share: F.when(F.col(count) == 0, 0.0).otherwise(F.col(count) * F.log(F.col(count) / (F.col(toxic) + F.col(clean)) / share))
+    more = F.col(toxic) * n[0] > F.col(clean) * (4 * n[1])
+    sure = stored(tested.withColumn("sure", F.when(more, part(toxic, chance) + part(clean, 1 - chance)).otherwise(0.0)), "sure")
     levels = sure.groupBy(F.floor(F.least("sure", F.lit(600.0)) * 100).alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
     total, passed, least = sum(r["n"] for r in levels), 0, None
     for r in levels:
         passed += r["n"]
         if r["level"] > 0 and total * np.exp(-r["level"] / 100) <= FALSE * passed:
             least = r["level"] / 100
-    if least is None:
-        return []
-    return sure.where(F.col("sure") >= least).orderBy(F.desc("sure"), F.desc(F.length("word")), "word").select("word", "toxic", "clean").collect()
+    return sure.where(F.col("sure") >= least) if least is not None else sure.limit(0)
 
 
-def _choose(rows: list) -> list:
-    """Without those that only extend or abridge a better one."""
-    chosen, words, begins = [], set(), set()
-    for row in rows:
-        heads = {row["word"][:k] for k in range(1, len(row["word"]) + 1)}
-        if row["word"] not in begins and not heads & words:
-            chosen.append(row)
-            words.add(row["word"])
-            begins |= heads
-    return chosen
+def _credited(labelled: DataFrame, telling: DataFrame) -> DataFrame:
+    """Telling strings with `t` and `c`: their credit for the toxic and the other documents they are in.
 
+    A document's credit of 1 is dealt to its words by how sure their surest strings are, which get it. The accidental words of a group of
+    copies share the credit of these copies, and get hardly any where an insult explains the label.
+    """
+    slot = F.pmod(F.crc32(F.encode("word", "utf-8")), F.lit(FILTER_BITS))
+    words = telling.groupBy((slot / 8).cast("int").alias("byte")).agg(F.expr("bit_or(shiftleft(1, cast(pmod(crc32(encode(word, 'utf-8')), 8) as int)))").alias("bits")).toArrow()
+    filled = np.zeros(FILTER_BITS // 8, np.uint8)
+    filled[words.column("byte").to_numpy()] = words.column("bits").to_numpy()
+    shared = labelled.sparkSession.sparkContext.broadcast(filled.tobytes())
+
+    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, known = shared.value, {}
+
+        def passing(word: str) -> list[dict]:
+            slots = ((zlib.crc32(p.encode("utf-8", "surrogatepass")) % FILTER_BITS, p) for p in _strings(word))
+            return [{"of": word, "word": p} for at, p in slots if bits[at >> 3] >> (at & 7) & 1]
+
+        for batch in batches:
+            found = []
+            for text in batch.column(1).to_pylist():
+                if len(known) > 200_000:
+                    known.clear()
+                words = set((text or "").lower().split())
+                known.update((w, passing(w)) for w in words if w not in known)
+                found.append([p for w in words for p in known[w]])
+            held = pa.array(found, pa.list_(pa.struct({"of": pa.string(), "word": pa.string()})))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), held], names=["doc_id", "kind", "held"])
+
+    rows = labelled.mapInArrow(may, "doc_id long, kind int, held array<struct<of:string,word:string>>").select("doc_id", "kind", F.inline("held"))
+    best = rows.join(telling.select("word", "sure"), "word").groupBy("doc_id", "kind", "of").agg(F.max(F.struct("sure", F.length("word").alias("n"), "word")).alias("best"))
+    docs = best.groupBy("doc_id", "kind").agg(F.collect_set("best").alias("held"))
+    total = F.aggregate("held", F.lit(0.0), lambda sofar, h: sofar + h["sure"])
+    dealt = docs.select("kind", total.alias("total"), F.explode("held").alias("h")).groupBy("h.word").agg(*[F.sum(F.when(F.col("kind") == k, F.col("h.sure") / F.col("total")).otherwise(0.0)).alias(name) for k, name in ((1, "t"), (0, "c"))])
+    return telling.drop("sure").join(dealt, "word")
+
+
+def _spanning(rows: list) -> list:
+    """Rows whose strings span the others, by pivoted incomplete Cholesky of the kernel: of every string no more than SPAN is left over.
+
+    The pivot is the string with the most left over, of equals the most telling; memory is strings times pivots.
+    """
+    texts = [r["word"] for r in rows]
+    own = np.sqrt(subsequence_kernel(texts, texts))
+    left, factors, pivots = np.ones(len(texts)), np.zeros((0, len(texts))), []
+    while len(texts) and left.max() > SPAN:
+        at = int(np.argmax(np.round(left, 9)))
+        column = subsequence_kernel([texts[at]] * len(texts), texts) / (own[at] * own)
+        factor = (column - factors[:, at] @ factors) / np.sqrt(left[at])
+        factors = np.vstack([factors, factor])
+        left = np.maximum(0.0, left - factor**2)
+        left[at] = 0
+        pivots.append(at)
+    return [rows[at] for at in sorted(pivots)]
+
+
+@dataclass
+class Sparse:
+    """Rows of landmark values without their zeros."""
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-5) -> np.ndarray:
+    row: np.ndarray
+    cell: np.ndarray
+    value: np.ndarray
+    rows: int
+    cells: int
+
+    def __matmul__(self, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * x[self.cell], self.rows)
+
+    def back(self, y: np.ndarray) -> np.ndarray:
+        return np.bincount(self.cell, self.value * y[self.row], self.cells)
+
+
+def _svm(x: Sparse, nystrom: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-5) -> np.ndarray:
     """Squared hinge loss with equally heavy classes, by accelerated gradient steps; the last coefficient is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
     weight = np.where(y > 0, weight / weight[y > 0].sum(), weight / weight[y < 0].sum()) / 2
-    step = 1 / (2 * np.linalg.eigvalsh((x * weight[:, None]).T @ x)[-1] + penalty)
-    w = ahead = np.zeros(x.shape[1])
+    ahead_of = lambda w: x @ (nystrom @ w[:-1]) + w[-1]
+    back = lambda v: np.append(nystrom.T @ x.back(v), v.sum())
+    top, size = np.ones(x.cells + 1), 1.0
+    for _ in range(100):  # the largest curvature, by powers
+        top = back(weight * ahead_of(top / np.linalg.norm(top)))
+        size = np.linalg.norm(top)
+    step = 1 / (2 * 1.05 * size + penalty)
+    w = ahead = np.zeros(x.cells + 1)
     for t in range(600):
-        slack = np.maximum(0, 1 - y * (x @ ahead))
-        gradient = -2 * x.T @ (weight * y * slack) + penalty * np.append(ahead[:-1], 0)
+        slack = np.maximum(0, 1 - y * ahead_of(ahead))
+        gradient = -2 * back(weight * y * slack) + penalty * np.append(ahead[:-1], 0)
         new = ahead - step * gradient
         ahead, w = new + t / (t + 3) * (new - w), new
     return w
@@ -378,11 +448,12 @@ def _logistic(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tupl
 def fit(docs: DataFrame, labels: DataFrame, each: int = 1500) -> Model:
     """Learn from docs (doc_id, text) and labels (doc_id, toxic 0 or 1, nulls left out; 1 wins over repeats).
 
-    Words are counted in all labelled documents. Every string that is more frequent in toxic documents
-    than chance allows becomes a landmark (of these about FALSE are wrong). The weights are fitted on
+    Words are counted in all labelled documents. A string is telling if it is more frequent in toxic documents
+    than chance allows (of these about FALSE are wrong), once by the documents it is in and once by its credit
+    for them; of the telling strings those become landmarks that span the others. The weights are fitted on
     about `each` toxic and twice as many other documents at most, and EACH_MARK of each label for every
     landmark, chosen by a hash of doc_id and weighted by their chance to be chosen; the driver gets the
-    values of their sentences. Without landmarks, or without toxic or other examples, every text scores 0.
+    distinct values of their sentences, with summed weights. Without landmarks, or without toxic or other examples, every text scores 0.
     """
     spark = prepare_llm(docs.sparkSession)
     label = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -392,7 +463,9 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = 1500) -> Model:
     if not n.get(0) or not n.get(1):
         return nothing
     counted = labelled.select("text", "toxic").mapInArrow(_candidates, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    chosen = _choose(_telling(counted, n))
+    telling = _telling(counted, n)
+    alone = _telling(_credited(labelled, telling), n, "t", "c")
+    chosen = _spanning(alone.orderBy(F.desc("sure"), F.desc(F.length("word")), "word").select("word", "toxic", "clean").collect())
     if not chosen:
         return nothing
     marks = Landmarks([r["word"] for r in chosen])
@@ -406,36 +479,40 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = 1500) -> Model:
             texts, toxic, draw = (batch.column(c).to_pylist() for c in (1, 2, 3))
             chances = [max([share[t], *(rate[w][t] for w in found & rate.keys())]) for found, t in zip(_found(texts, known), toxic)]
             some = [i for i, c in enumerate(chances) if draw[i] < c]
-            found = own.sentences([texts[i] for i in some])
-            rows = [np.unique(np.array(f), axis=0) if f else np.zeros((0, len(rate)), np.float32) for f in found]
-            cells = [np.flatnonzero(r).astype(np.int32) for r in rows]
-            ids, kind = (batch.column(c).take(pa.array(some, pa.int64())) for c in (0, 2))
-            arrays = [ids, kind, pa.array([chances[i] for i in some], pa.float64()), pa.array(map(len, rows), pa.int32()), pa.array(cells, pa.list_(pa.int32())), pa.array([r.ravel()[c] for r, c in zip(rows, cells)], pa.list_(pa.float32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "toxic", "chance", "rows", "cells", "values"])
+            bags = []
+            for found in own.sentences([texts[i] for i in some]):
+                rows = np.unique(np.array(found), axis=0) if found else np.zeros((1, len(rate)), np.float32)
+                bags.append([{"cells": (c := np.flatnonzero(r)).tolist(), "values": r[c].tolist()} for r in rows])
+            kind = batch.column(2).take(pa.array(some, pa.int64()))
+            arrays = [kind, pa.array([1 / chances[i] for i in some], pa.float64()), pa.array(bags, pa.list_(pa.struct({"cells": pa.list_(pa.int32()), "values": pa.list_(pa.float32())})))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["toxic", "weight", "bag"])
 
     drawn = labelled.select("doc_id", "text", "toxic", (F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1_000_003)) / 1_000_003).alias("draw"))
-    got = drawn.mapInArrow(values, "doc_id long, toxic int, chance double, rows int, cells array<int>, values array<float>").toArrow().sort_by("doc_id").combine_chunks()
-    toxic, weight = got.column("toxic").to_numpy(), 1 / got.column("chance").to_numpy()
+    bags = stored(drawn.mapInArrow(values, "toxic int, weight double, bag array<struct<cells:array<int>,values:array<float>>>"), "bags")
+    # equal rows are fitted once, with the sum of their weights; a document without rows has one of zeros
+    equal = bags.select("toxic", "weight", F.explode("bag").alias("r")).groupBy("toxic", "r").agg(F.sum("weight").alias("weight"))
+    got = equal.select("toxic", "weight", "r.cells", "r.values").orderBy("toxic", "cells", "values").toArrow().combine_chunks()
+    toxic, weight = got.column("toxic").to_numpy(), got.column("weight").to_numpy()
     if len(set(toxic.tolist())) < 2:
         return nothing
-    # equal rows are fitted once, with the sum of their weights; a document without rows has one of zeros
-    counts = np.maximum(1, got.column("rows").to_numpy())
-    known, which = {}, []
-    for n_rows, cells, some in zip(counts, got.column("cells"), got.column("values")):
-        bag = np.zeros((n_rows, len(marks.texts)), np.float32)
-        bag.ravel()[cells.values.to_numpy()] = some.values.to_numpy()
-        which += [known.setdefault(row.tobytes(), len(known)) for row in bag]
-    rows, which = np.frombuffer(b"".join(known), np.float32).reshape(len(known), -1).astype(float), np.array(which)
+    cells, some = (pa.concat_arrays(got.column(c).chunks) for c in ("cells", "values"))
+    x = Sparse(np.repeat(np.arange(len(toxic)), cells.value_lengths().to_numpy()), cells.flatten().to_numpy(), some.flatten().to_numpy().astype(float), len(toxic), len(chosen))
     gram = marks.kernels(marks.texts) / np.outer(marks.own, marks.own)
     roots, vectors = np.linalg.eigh(gram)
     nystrom = vectors @ np.diag(1 / np.sqrt(np.maximum(roots, 0.05))) @ vectors.T
-    owner = np.repeat(np.arange(len(counts)), counts)
-    heavy = np.bincount(2 * which + toxic[owner], weight[owner], 2 * len(rows))
-    kinds = np.flatnonzero(heavy)
-    w = _svm((rows @ nystrom)[kinds // 2], 2.0 * (kinds % 2) - 1, heavy[kinds])
+    w = _svm(x, nystrom, 2.0 * toxic - 1, weight)
     weights = nystrom @ w[:-1]
-    worst = np.maximum(np.maximum.reduceat((rows @ weights)[which], np.cumsum(counts) - counts), 0.0) + w[-1]
-    slope, offset = _logistic(worst, toxic.astype(float), weight)
+    rated = spark.sparkContext.broadcast(weights)
+
+    def worst(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            margins = [max([0.0, *(float(np.dot(r["values"], rated.value[r["cells"]])) for r in bag if r["cells"])]) for bag in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(margins, pa.float64())], names=["toxic", "weight", "margin"])
+
+    # the driver gets margins in steps of 1e-4
+    places = bags.mapInArrow(worst, "toxic int, weight double, margin double").groupBy("toxic", F.round("margin", 4).alias("margin")).agg(F.sum("weight").alias("weight"))
+    margin, label, heavy = (places.orderBy("margin", "toxic").toArrow().column(c).to_numpy() for c in ("margin", "toxic", "weight"))
+    slope, offset = _logistic(margin + w[-1], label.astype(float), heavy)
     return Model(marks, weights, float(w[-1]), slope, offset)
 
 

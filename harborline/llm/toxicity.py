@@ -17,6 +17,7 @@ worst sentence's margin, fitted to the documents' labels.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -47,6 +48,7 @@ FILTER_BITS = 1 << 23
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2,}")
 _ENDS = re.compile(r"^\W+|\W+$")
+_MARKS = string.punctuation.replace("_", "")
 
 
 def subsequence_kernel(left: list[str], right: list[str], length: int = LENGTH, decay: float = DECAY) -> np.ndarray:
@@ -104,7 +106,8 @@ def _letters(texts: list[str]) -> np.ndarray:
 
 def windows(unit: str) -> list[str]:
     """A unit without the marks around it, in overlapping windows if it is long."""
-    unit = _ENDS.sub("", unit)
+    bare = unit.strip(_MARKS)
+    unit = bare if bare.isalnum() else _ENDS.sub("", unit)
     if len(unit) <= WINDOW:
         return [unit] if len(unit) >= LENGTH else []
     return [unit[at : at + WINDOW] for at in range(0, len(unit) - WINDOW // 2, WINDOW // 2)]
@@ -203,7 +206,7 @@ class Landmarks:
                 owner.append(unit)
         if not self.texts:
             return
-        step = max(256, 1_000_000 // len(self.texts))
+        step = max(256, 250_000 // len(self.texts))
         for at in range(0, len(parts), step):
             self._learn(parts[at : at + step], owner[at : at + step])
 
@@ -219,8 +222,8 @@ class Landmarks:
         lowest = [0.01] * LENGTH + [np.sqrt((_triples_of(n)[3] ** 2).sum()) * (1 - 1e-9) for n in range(LENGTH, WINDOW + 1)]
         least = np.array([lowest[len(t)] if t.isalnum() else 0.01 for t in texts])
         close = np.flatnonzero((values >= FLOOR * least[:, None] * self.own).any(1))
-        for at in range(0, len(close), 4000):
-            some = close[at : at + 4000]
+        for at in range(0, len(close), 1000):
+            some = close[at : at + 1000]
             chosen = [texts[i] for i in some]
             selves = np.sqrt(subsequence_kernel(chosen, chosen))
             scaled = values[some] / np.maximum(1e-12, selves[:, None] * self.own)
@@ -233,7 +236,7 @@ class Landmarks:
     def sentences(self, texts: list[str | None]) -> list[list[np.ndarray]]:
         """For each text the values of its sentences that have any above the floor."""
         (seen, memo), lowered = self.memo, [(t or "").lower() for t in texts]
-        if len(seen) > 500_000 or len(memo) * len(self.texts) > 10_000_000:
+        if len(seen) > 150_000 or len(memo) * len(self.texts) > 2_000_000:
             seen.clear()
             memo.clear()
         spaced = [_SPACED.findall(t) for t in lowered]
@@ -272,6 +275,9 @@ class Model:
 
 def _strings(word: str) -> set[str]:
     """The strings of a word that can be landmarks: the word, or its windows, and how it begins."""
+    bare = word.strip(_MARKS)
+    if LENGTH <= len(bare) <= WINDOW and bare.isalnum():
+        return {bare, *(bare[:k] for k in range(4, min(9, len(bare))))}
     parts = windows(word)
     if len(parts) == 1:
         parts += [parts[0][:k] for k in range(4, min(9, len(parts[0]))) if parts[0][k - 1].isalnum()]
@@ -304,7 +310,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for found, toxic in zip(_found(batch.column(0).to_pylist(), known), batch.column(1).to_pylist()):
             counts[toxic].update(found)
-        if sum(map(len, counts)) > 200_000:
+        if sum(map(len, counts)) > 100_000:
             yield from told()
     yield from told()
 
@@ -352,7 +358,7 @@ def _credited(labelled: DataFrame, telling: DataFrame) -> DataFrame:
         for batch in batches:
             found = []
             for text in batch.column(1).to_pylist():
-                if len(known) > 200_000:
+                if len(known) > 50_000:
                     known.clear()
                 words = set((text or "").lower().split())
                 known.update((w, passing(w)) for w in words if w not in known)
@@ -477,7 +483,13 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = 1500) -> Model:
         (own, rate), known = shared.value, {}
         for batch in batches:
             texts, toxic, draw = (batch.column(c).to_pylist() for c in (1, 2, 3))
-            chances = [max([share[t], *(rate[w][t] for w in found & rate.keys())]) for found, t in zip(_found(texts, known), toxic)]
+            chances = []
+            for text, t in zip(texts, toxic):
+                if len(known) > 50_000:
+                    known.clear()
+                words = set((text or "").lower().split())
+                known.update((w, _strings(w) & rate.keys()) for w in words if w not in known)
+                chances.append(max([share[t], *(rate[p][t] for w in words for p in known[w])]))
             some = [i for i, c in enumerate(chances) if draw[i] < c]
             bags = []
             for found in own.sentences([texts[i] for i in some]):

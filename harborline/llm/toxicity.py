@@ -451,6 +451,18 @@ def _logistic(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tupl
     return float(slope), float(-slope * center)
 
 
+def _with_labels(texts: DataFrame, label: DataFrame) -> DataFrame:
+    """Texts (doc_id, text) with their labels (doc_id, toxic).
+
+    A filter of FILTER_BITS bits, the most that is broadcast, keeps texts without a label out of the shuffle. The join
+    itself is a shuffle at every size.
+    """
+    slot = F.pmod(F.xxhash64(F.lit(6), F.col("doc_id").cast("string")), F.lit(FILTER_BITS))
+    known = label.withColumn("slot", slot).groupBy((F.col("slot") / 64).cast("int").alias("place")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits"))
+    may = texts.withColumn("slot", slot).withColumn("place", (F.col("slot") / 64).cast("int")).join(F.broadcast(known), "place")
+    return may.where("shiftright(bits, cast(slot % 64 as int)) & 1 = 1").select("doc_id", "text").join(label.hint("merge"), "doc_id")
+
+
 def fit(docs: DataFrame, labels: DataFrame, each: int = 1500) -> Model:
     """Learn from docs (doc_id, text) and labels (doc_id, toxic 0 or 1, nulls left out; 1 wins over repeats).
 
@@ -463,7 +475,7 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = 1500) -> Model:
     """
     spark = prepare_llm(docs.sparkSession)
     label = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    labelled = stored(docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null").join(label, "doc_id"), "labelled")
+    labelled = stored(_with_labels(docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null"), label), "labelled")
     n = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     nothing = Model(Landmarks([]), np.zeros(0), 0.0, 1.0, -500.0)
     if not n.get(0) or not n.get(1):

@@ -1,11 +1,12 @@
-"""Folding many columns per key in one pass over (key, attribute, entry) rows.
-
-Every filled value of a row becomes a row of its own: the attribute's name, an
-entry (the key of a map, the address of an address list, else null), the value
-and the row's order. One aggregate keeps the newest value per key, attribute
-and entry (combined on the map side, so a key with very many rows sends few),
-a second one lays the attributes out as columns again. Any number of columns
-of any rule costs these two shuffles.
+"""Folding many columns per key in one pass, with aggregates that combine on the map side.
+
+Every row stays one row with all columns of which one value is kept. Only maps
+and addresses, whose entries are open in number, become rows of their own: the
+attribute's name, an entry (the key of a map, the address of an address list),
+the value and the row's order. One aggregate keeps the newest values per key,
+attribute and entry (a key with very many rows sends few), a second one lays
+the entries out as columns again. Any number of columns of any rule costs these
+two shuffles.
 """
 
 from __future__ import annotations
@@ -37,6 +38,11 @@ Rule = Newest | Entries | Addresses
 _ROW = "struct<attribute:string,entry:string,value:string>"
 
 
+def _present() -> Column:
+    """The row without attribute that every row has."""
+    return F.array(F.struct(*[F.lit(None).cast("string").alias(c) for c in ("attribute", "entry", "value")]))
+
+
 def _entries(name: str, rule: Rule) -> Column:
     """The attribute rows of one column of one row."""
     row = lambda entry, value: F.struct(F.lit(name).alias("attribute"), entry.cast("string").alias("entry"), value.cast("string").alias("value"))
@@ -50,8 +56,7 @@ def _entries(name: str, rule: Rule) -> Column:
 
 def attribute_rows(rows: DataFrame, keys: list[str], columns: dict[str, Rule], order: list[str]) -> DataFrame:
     """keys, at (the order columns), attribute, entry, value: one row for every filled value, and one without attribute for every row."""
-    present = F.array(F.struct(F.lit(None).cast("string").alias("attribute"), F.lit(None).cast("string").alias("entry"), F.lit(None).cast("string").alias("value")))
-    filled = F.concat(present, *[_entries(name, rule) for name, rule in columns.items()])
+    filled = F.concat(_present(), *[_entries(name, rule) for name, rule in columns.items()])
     return rows.select(*keys, F.struct(*order).alias("at"), F.inline(filled))
 
 
@@ -60,12 +65,28 @@ def fold(rows: DataFrame, keys: list[str], columns: dict[str, Rule], order: list
 
     The first order column is the time that Addresses report. A key all of whose values are null keeps its row.
     """
-    newest = attribute_rows(rows, keys, columns, order).groupBy(*keys, "attribute", "entry").agg(F.max(F.struct("at", "value")).alias("last"))
+    single = {name: rule for name, rule in columns.items() if isinstance(rule, Newest)}
+    several = {name: rule for name, rule in columns.items() if name not in single}
+    slot = {name: f"v{i}" for i, name in enumerate(single)}
+    # the row without attribute holds all single values, the row of an entry none
+    values = F.struct(F.lit(True).alias("here"), *[F.col(c).cast("string").alias(v) for c, v in slot.items()])
+    entries = F.transform(F.concat(_present(), *[_entries(name, rule) for name, rule in several.items()]), lambda e: F.struct(
+        e["attribute"].alias("attribute"), e["entry"].alias("entry"), e["value"].alias("value"), F.when(e["attribute"].isNull(), values).alias("single"),
+    ))
+    made = rows.select(*keys, F.struct(*order).alias("at"), F.inline(entries))
+
+    def newest_of(value: str) -> Column:
+        ranks = [F.col(f"at.{c}").alias(f"o{i}") for i, c in enumerate(order)]
+        filled = F.col(f"single.{value}")
+        return F.max(F.when(filled.isNotNull(), F.struct(*ranks, filled.alias("value")))).alias(f"_{value}")
+
+    last = F.max(F.when(F.col("attribute").isNotNull(), F.struct("at", "value"))).alias("last")
+    newest = made.groupBy(*keys, "attribute", "entry").agg(last, *[newest_of(v) for v in slot.values()])
 
     def laid_out(name: str, rule: Rule) -> Column:
         mine = F.col("attribute") == name
         if isinstance(rule, Newest):
-            return F.max(F.when(mine, F.col("last.value"))).cast(rule.type).alias(name)
+            return F.max(F.col(f"_{slot[name]}")["value"]).cast(rule.type).alias(name)
         if isinstance(rule, Entries):
             pairs = F.array_sort(F.collect_list(F.when(mine, F.struct(F.col("entry").alias("key"), F.col("last.value").alias("value")))))
             return F.when(F.size(pairs) > 0, F.map_from_entries(pairs)).alias(name)

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 MOVES = "_moves"
 
 
+#: Rows that one task of a split sorts, unless a part has more.
+RANGE_ROWS = 500_000
+
+
 def replace_partitions(df: DataFrame, path: str, by: list[str], sort: list[str] | None = None) -> None:
     """Overwrite only the partitions that occur in ``df``.
 
@@ -201,7 +205,13 @@ def csv_to_parquet(spark: SparkSession, source: str, target: str, schema: str, t
 
 
 def split_files(df: DataFrame, path: str, order: list[str], files: int | None = None, rows_per_file: int | None = None) -> None:
-    """CSV parts with a header each: a number of parts or a size per part."""
+    """CSV parts with a header each: a number of parts or a size per part.
+
+    With both, a range of rows is cut into parts of that size anyway: there are `files` ranges at least, and so
+    many more that a task sorts RANGE_ROWS rows or one part, however large the table is.
+    """
+    if files and rows_per_file:
+        files = max(files, -(-df.count() // max(rows_per_file, RANGE_ROWS)))
     writer = df.repartitionByRange(files, *order) if files else df
     writer = writer.sortWithinPartitions(*order).write.mode("overwrite").option("header", "true")
     if rows_per_file:

@@ -104,13 +104,12 @@ NOTIFICATION_KEYS = ["contact_id", "report_id", "message_id"]
 def notifications(report: DataFrame, senders: DataFrame, recent: Column) -> DataFrame:
     """One row per notification, newest ingestion first.
 
-    A bot that sends for several brands is shown with the first of them.
+    A bot that sends for several brands is shown with the first of them. Brand and campaign follow from columns
+    that the newest row is chosen by, so they are added to the rows that stay.
     """
     brands = senders.groupBy("bot_id").agg(F.min("brand_name").alias("brand_name"))
-    named = recent_or_all(report, recent).where(F.col("contact_id").isNotNull()).join(brands, "bot_id", "left").withColumn(
-        "campaign_name", campaign_name(F.col("template_id"), F.col("name"))
-    )
-    return two_stage_dedup(named, NOTIFICATION_KEYS, NOTIFICATION_ORDER)
+    newest = two_stage_dedup(recent_or_all(report, recent).where(F.col("contact_id").isNotNull()), NOTIFICATION_KEYS, NOTIFICATION_ORDER)
+    return newest.join(brands, "bot_id", "left").withColumn("campaign_name", campaign_name(F.col("template_id"), F.col("name")))
 
 
 def merge_notifications(target: DataFrame, source: DataFrame, now: Column) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.functions.dates import calendar_columns, on_day
@@ -108,26 +108,37 @@ def daily_transaction(fact: DataFrame, detail: DataFrame, categories: DataFrame,
     """Orders, users, items and revenue per day, status, method, category, place.
 
     Items are summed per order and category before the join, so the join and
-    the distinct counts handle orders rather than items.
+    the distinct counts handle orders rather than items. An order is counted
+    by its first row in a group, beside the join that brought its rows
+    together, a user by the row per group and user: one shuffle of the orders,
+    where two distinct counts would send each of them twice.
     """
     if day:
         fact = fact.where(F.col("date_key") == F.lit(day).cast("date"))
+        # items of other days' orders go before the lookups that lie between them and here
+        detail = detail.join(fact.select("order_id").distinct(), "order_id", "left_semi")
     names = categories.select("category_key", F.col("name").alias("category"))
     completed = F.col("order_status") == "completed"
     per_category = detail.groupBy("order_id", "category_key").agg(
         F.sum("quantity").alias("quantity"), F.sum("price_amount").alias("price_amount")
     )
-    return (
+    group = ["date_key", "order_status", "payment_method", "category", "country", "city"]
+    sums = {"items_sold": "quantity", "total_revenue": "price_amount"}
+    per_order = (
         fact.select("order_id", "user_key", "date_key", "order_status", "payment_method", "country", "city")
         .join(per_category, "order_id", "left")
         .join(names, "category_key", "left")
-        .groupBy("date_key", "order_status", "payment_method", "category", "country", "city")
-        .agg(
-            F.count_distinct("order_id").alias("total_order"),
-            F.count_distinct("user_key").alias("total_user"),
-            sum_if(F.col("quantity"), completed).alias("items_sold"),
-            sum_if(F.col("price_amount"), completed).alias("total_revenue"),
-        )
+        .groupBy(*group, "order_id", "user_key")
+        .agg(*[sum_if(F.col(c), completed).alias(name) for name, c in sums.items()])
+    )
+    kinds = {name: per_order.schema[name].dataType for name in sums}
+    first = F.row_number().over(Window.partitionBy(*group, "order_id").orderBy("user_key")) == 1
+    per_user = per_order.withColumn("_first", first & F.col("order_id").isNotNull()).groupBy(*group, "user_key").agg(
+        F.count_if("_first").alias("total_order"), *[F.sum(name).alias(name) for name in sums]
+    )
+    return per_user.groupBy(*group).agg(
+        F.sum("total_order").alias("total_order"), F.count("user_key").alias("total_user"),
+        *[F.sum(name).cast(kinds[name]).alias(name) for name in sums],
     )
 
 

@@ -37,6 +37,50 @@ GATHER = 400_000
 LOWEST = -1e30
 
 
+class Trie:
+    """Prefixes of pieces as numbered nodes, 0 the empty one; the next node by letter lies in a table by hash."""
+
+    def __init__(self, pieces: dict[str, int]):
+        number = {p: i for i, p in enumerate(["", *sorted({p[:k] for p in pieces for k in range(1, len(p) + 1)})])}
+        self.piece = np.full(len(number), -1, np.int64)
+        self.piece[[number[p] for p in pieces]] = list(pieces.values())
+        steps = [(number[p[:-1]], ord(p[-1]), i) for p, i in number.items() if p]
+        parent, letter, child = (np.array([x[k] for x in steps], np.int64) for k in range(3))
+        key = parent << 21 | letter
+        self.mask = (1 << max(10, (8 * len(key)).bit_length())) - 1
+        self.keys, self.next = np.full(self.mask + 1, -1, np.int64), np.full(self.mask + 1, -1, np.int32)
+        slot = self._slot(key)
+        while len(key):  # a taken place sends a key on to the next one
+            free = self.keys[slot] < 0
+            _, first = np.unique(np.where(free, slot, -1), return_index=True)
+            first = first[free[first]]
+            self.keys[slot[first]], self.next[slot[first]] = key[first], child[first]
+            left = np.ones(len(key), bool)
+            left[first] = False
+            key, child, slot = key[left], child[left], (slot[left] + 1) & self.mask
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)).astype(np.int64) & self.mask
+
+    def after(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The next node, or -1."""
+        key = node.astype(np.int64) << 21 | letter
+        slot = self._slot(key)
+        held = self.keys[slot]
+        out = np.where(held == key, self.next[slot], -1)
+        other = np.flatnonzero((held != key) & (held >= 0))
+        while len(other):
+            slot[other] = (slot[other] + 1) & self.mask
+            held = self.keys[slot[other]]
+            hit = held == key[other]
+            out[other[hit]] = self.next[slot[other[hit]]]
+            other = other[~hit & (held >= 0)]
+        return out
+
+
+_tries: dict[str, Trie] = {}
+
+
 class Lattice:
     """Log-space recursions over many words at once."""
 
@@ -50,23 +94,55 @@ class Lattice:
             total = np.logaddexp.reduce(np.append(log[log > LOWEST / 2], -np.log(1000.0)))
             log = np.where(log > LOWEST / 2, log - total, LOWEST)
         self.log = log
-        self.ids = self.vocab.pieces
+        if path not in _tries:
+            _tries[path] = Trie(self.vocab.pieces)
+        self.trie = _tries[path]
+
+    def arcs_of(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """(text, start, end, piece) of all arcs, and their value; a piece of -1 - c is the code point c spelled in bytes.
+
+        Every text starts with the space sign. Of the arcs that end at one place the longer come first.
+        """
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        inner = codes == ord(SPACE)  # after the first letter the sign is a literal
+        inner[begins] = False
+        stops = np.repeat(begins + sizes, sizes)
+        at = np.flatnonzero(~inner)
+        node, size, alone = np.zeros(len(at), np.int64), 0, np.zeros(len(codes), bool)
+        found = []
+        while len(at):
+            node = self.trie.after(node, codes[at + size])
+            size += 1
+            there = np.flatnonzero(node >= 0)
+            at, node = at[there], node[there]
+            piece = self.trie.piece[node]
+            whole = np.flatnonzero(piece >= 0)
+            found.append((at[whole], np.full(len(whole), size), piece[whole]))
+            if size == 1:
+                alone[at[whole]] = True
+            there = np.flatnonzero(at + size < stops[at])
+            there = there[~inner[at[there] + size]]
+            at, node = at[there], node[there]
+        bare = np.flatnonzero(~alone)
+        found.insert(0, (bare, np.ones(len(bare), np.int64), -1 - codes[bare]))
+        at, size, piece = (np.concatenate(x)[::-1] for x in zip(*found))
+        row = np.repeat(np.arange(len(texts)), sizes)[at]
+        start = at - begins[row]
+        value = self.log[np.maximum(piece, 0)]
+        strange, which = np.unique(piece[piece < 0], return_inverse=True)
+        value[piece < 0] = np.array([self.log[self.spelling(p)].sum() for p in strange])[which] if len(strange) else 0
+        return row, start, start + size, piece, value
+
+    def spelling(self, piece: int) -> list[int]:
+        """Byte pieces of the code point c, for a piece of -1 - c."""
+        return [self.vocab.byte_id[b] for b in chr(-1 - piece).encode("utf-8", "surrogatepass")]
 
     def arcs(self, word: str) -> list[tuple[int, int, tuple[int, ...]]]:
         """(start, end, ids) of all pieces in a word with the space sign before it."""
-        prefixes, out, n = self.vocab.prefixes, [], len(word)
-        for at in range(n):
-            end, literal = at + 1, at > 0 and word[at] == SPACE
-            while end <= n and not literal and (end == at + 1 or word[end - 1] != SPACE):
-                part = word[at:end]
-                if part not in prefixes:
-                    break
-                if prefixes[part] is not None:
-                    out.append((at, end, (self.ids[part],)))
-                end += 1
-            if literal or prefixes.get(word[at]) is None:
-                out.append((at, at + 1, tuple(self.vocab.byte_id[b] for b in word[at].encode("utf-8", "surrogatepass"))))
-        return out
+        _, start, end, piece, _ = self.arcs_of([word])
+        return [(a, e, (p,) if p >= 0 else tuple(self.spelling(p))) for a, e, p in zip(start.tolist(), end.tolist(), piece.tolist())]
 
     def words(self, words: list[bytes], counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of each word; with counts also the expected use of every piece."""
@@ -84,14 +160,8 @@ class Lattice:
 
     def _block(self, texts: list[str], counts: np.ndarray | None, used: np.ndarray | None) -> np.ndarray:
         width = max(map(len, texts))
-        arcs = [(row, a, e, ids) for row, text in enumerate(texts) for a, e, ids in self.arcs(text)]
-        row, start, end = (np.array([x[k] for x in arcs], np.int64) for k in range(3))
-        first = np.array([x[3][0] for x in arcs], np.int64)
-        value = self.log[first]
-        spelled = [k for k, x in enumerate(arcs) if len(x[3]) > 1]
-        for k in spelled:
-            value[k] = self.log[list(arcs[k][3])].sum()
-        by_end = np.argsort(end, kind="stable")
+        row, start, end, piece, value = self.arcs_of(texts)
+        by_end = _order(end)
         alpha = np.full((len(texts), width + 1), LOWEST)
         alpha[:, 0] = 0
         bounds = np.searchsorted(end[by_end], np.arange(1, width + 2))
@@ -102,7 +172,7 @@ class Lattice:
         total = alpha[np.arange(len(texts)), last]
         if used is not None:
             beta = np.full((len(texts), width + 1), LOWEST)
-            by_start = np.argsort(start, kind="stable")
+            by_start = _order(start)
             bounds = np.searchsorted(start[by_start], np.arange(0, width + 1))
             beta[np.arange(len(texts)), last] = 0
             for s in range(width - 1, -1, -1):
@@ -110,13 +180,18 @@ class Lattice:
                 got = _sum(beta[row[part], end[part]] + value[part], row[part], len(texts))
                 beta[:, s] = np.where(s < last, got, beta[:, s])
             share = np.exp(np.minimum(0, alpha[row, start] + value + beta[row, end] - total[row])) * counts[row]
-            np.add.at(used, first, share)
-            for k in spelled:
-                for i in arcs[k][3][1:]:
-                    used[i] += share[k]
+            used += np.bincount(piece[piece >= 0], share[piece >= 0], minlength=len(used))
+            strange, which = np.unique(piece[piece < 0], return_inverse=True)
+            for code, sum_of in zip(strange, np.bincount(which, share[piece < 0], minlength=len(strange))):
+                np.add.at(used, self.spelling(code), sum_of)
         return total
 
 
+def _order(places: np.ndarray) -> np.ndarray:
+    """A stable order; small numbers are sorted by their digits."""
+    return np.argsort(places.astype(np.uint16) if not len(places) or places.max() < 1 << 16 else places, kind="stable")
+
+
 def _sum(terms: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """For each row the logarithm of the sum of the exponentials of its terms."""
     high = np.full(n, LOWEST)
@@ -125,6 +200,18 @@ def _sum(terms: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.where(total > 0, high + np.log(np.maximum(total, 1e-300)), LOWEST)
 
 
+def _together(batches: Iterator[pa.RecordBatch], rows: int = 8192, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about so many rows or bytes: the recursions take many words at once."""
+    held = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, training count, other count) of a task's documents, handed on in portions."""
     counts = (Counter(), Counter())
@@ -167,7 +254,7 @@ def score(docs: DataFrame, training, path: str, doc_id: str = "doc_id") -> DataF
 
     def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, used = Lattice(path), 0
-        for batch in batches:
+        for batch in _together(batches):
             if batch.num_rows:
                 used = used + lattice.words(batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False).astype(float))[1]
         if not isinstance(used, int):
@@ -187,7 +274,7 @@ def score(docs: DataFrame, training, path: str, doc_id: str = "doc_id") -> DataF
 
     def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(path, shared.value)
-        for batch in batches:
+        for batch in _together(batches):
             value = (lattice.words(batch.column(0).to_pylist())[0] + stay) / np.log(10) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(value)], names=["word", "n", "other", "value"])
 

@@ -104,6 +104,22 @@ def beside(frame: DataFrame, text: str, fields: str, work: Callable[[Iterator[li
     return packed.mapInArrow(run, schema)
 
 
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def takes_over(owner: str, forget: Callable[[], None]) -> None:
+    """Called where an operator fills memory that its process keeps: what other operators keep there is given up.
+
+    Python workers are used again by later stages; without this each would hold the memories of all stages so far.
+    """
+    if owner not in _kept:
+        for other in _kept.values():
+            other()
+        _kept.clear()
+        _kept[owner] = forget
+        pa.default_memory_pool().release_unused()
+
+
 def text_blocks(texts: list[str | None], most: int = 1 << 20) -> Iterator[list[int]]:
     """Positions of the texts in blocks of at most `most` characters (a longer text stands alone)."""
     block, size = [], 0

@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import beside, mix, prepare_llm, remainder, stored, text_blocks
+from harborline.llm.common import beside, mix, prepare_llm, remainder, stored, takes_over, text_blocks
 
 UNKNOWN = "und"
 GRAMS = (2, 3, 4)
 HASHES = 2
+#: Characters that are looked at together; the arrays made of them are some sixty times as large.
+TOGETHER = 1 << 17
 
 
 @dataclass
@@ -44,6 +46,7 @@ _tables: dict[str, np.ndarray] = {}
 
 def _letters() -> np.ndarray:
     """For every code point its lower-case letter, or 0 if it is no letter."""
+    takes_over("language_id", lambda: None)
     if "letters" not in _tables:
         known = np.zeros(0x110000, np.uint32)
         for point in range(0x110000):
@@ -102,7 +105,7 @@ def _count(languages: list[str]):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 by.setdefault(place[lang], []).extend(_pieces(text))
             for lang, texts in by.items():
-                for block in text_blocks(texts):
+                for block in text_blocks(texts, TOGETHER):
                     for hashes, valid, _ in grams_of([texts[i] for i in block]):
                         unique, counts = np.unique(hashes[valid], return_counts=True)
                         held.setdefault(lang, []).append((unique, counts))
@@ -189,10 +192,11 @@ def judge(model: LanguageFilter, texts: list[str | None]) -> list[tuple[str, flo
             parts.append(piece)
             owner.append(i)
     total, found = np.zeros(len(texts), np.int64), np.zeros((len(texts), len(model.languages)), np.int64)
-    for block in text_blocks(parts):
+    of = np.array(owner, np.int64)
+    for block in text_blocks(parts, TOGETHER):
         n, hits = _tally(model, [parts[i] for i in block])
-        np.add.at(total, np.array(owner)[block], n)
-        np.add.at(found, np.array(owner)[block], hits)
+        np.add.at(total, of[block], n)
+        np.add.at(found, of[block], hits)
     true = np.maximum(0, (found - total[:, None] * model.false_rate) / np.maximum(1e-9, 1 - model.false_rate))
     out = []
     for i in range(len(texts)):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import LOWER_AZ, blocks_for, connected_components, mix, prepare_llm, stored, text_blocks
+from harborline.llm.common import LOWER_AZ, blocks_for, connected_components, mix, prepare_llm, stored, takes_over, text_blocks
 
 COORDINATES = 160
 #: A pair at a similarity of 0.8 misses all 32 bands with probability (1 - 0.8**5)**32, 3e-6; at 0.85 with 8e-9.
@@ -47,6 +47,7 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    takes_over("minhash", _powers.clear)
     if "up" not in _powers or len(_powers["up"]) < n:
         size = max(1 << 21, n)
         ones = np.full(size, _BASE), np.full(size, _UNBASE)

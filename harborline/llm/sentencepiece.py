@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import beside, prepare_llm, stored, text_blocks
+from harborline.llm.common import beside, prepare_llm, stored, takes_over, text_blocks
 
 SPACE = "▁"
 CHUNK = 32_768
@@ -224,6 +224,7 @@ class Vocabulary:
 
     def encode_all(self, texts: list[str]) -> list[tuple[np.ndarray, int]]:
         """Ids and score of each text, with the leading space already put before it."""
+        takes_over("sentencepiece", _forget)
         if len(self.memo) > 400_000:
             self.memo.clear()
         units = [self.units.findall(text) for text in texts]
@@ -249,6 +250,12 @@ class Vocabulary:
         return text[1:] if text.startswith(" ") else text
 
 
+def _forget() -> None:
+    for vocab in _vocabularies.values():
+        vocab.memo.clear()
+        vocab.trie = None
+
+
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary of a model file, loaded once in a process."""
     if path not in _vocabularies:

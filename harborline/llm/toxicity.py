@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import beside, prepare_llm, remainder, stored
+from harborline.llm.common import beside, prepare_llm, remainder, stored, takes_over
 
 DECAY = 0.6
 LENGTH = 3
@@ -169,6 +169,7 @@ class Landmarks:
     @property
     def memo(self) -> tuple[set[str], dict[str, np.ndarray]]:
         """Units seen by this process, and the values of those above the floor; one memo for all copies of the landmarks."""
+        takes_over("toxicity", _memos.clear)
         mine = tuple(self.texts)
         if mine not in _memos:
             _memos.clear()

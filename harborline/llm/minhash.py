@@ -10,18 +10,20 @@ draws.
 
 Documents with the same set of shingles are one class at once. Of each class
 one document is compared further: bands of `ROWS` coordinates put it into
-buckets, everybody in a bucket is compared with the bucket's leader, and linked
-documents form components; a second round has other leaders. Where a bucket
-still holds more than one component, all members of different components are
-compared, in blocks of bounded size. A comparison first looks at the sketches,
-with a margin of seven standard deviations, and then at the full sets, which are
-computed again from the texts of the few documents that need it. No bucket is
-capped, and pairs inside one component are never listed.
+buckets, and documents of one bucket whose sketches are alike, with a margin of
+seven standard deviations, belong to one family. Everybody in a bucket is
+compared with the bucket's leader first; a second round has other leaders. Where
+a bucket still holds more than one family, all its members of different families
+are compared, in blocks of bounded size. A family is then settled in one place
+on the full sets, which are computed again from its texts: blocks of bounded
+size meet each other, and each meeting gives a spanning forest of its links. So
+a text travels once for each meeting of its block, no pairs are listed, no
+bucket or family is capped, and pairs already joined aren't compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ COORDINATES = 160
 ROWS = 5
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 512
+#: Members of a family, and shingles on average, whose full sets one task compares with as many others.
+FAMILY, SHINGLES = 2048, 1 << 20
 #: Bits of the filter that keeps texts which need no full set out of the shuffle.
 FILTER_BITS = 1 << 23
 
@@ -125,17 +129,22 @@ def least_equal(percent: int, coordinates: int = COORDINATES) -> int:
     return int(coordinates * p - 7 * (coordinates * p * (1 - p)) ** 0.5)
 
 
+def fingerprints(values: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """Two sums over each set."""
+    ends, marks = np.cumsum(counts), []
+    for salt in (1, 2):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values * np.uint64(2 * salt + 1) + np.uint64(salt)))])
+        marks.append((sums[ends] - sums[ends - counts]).view(np.int64))
+    return marks
+
+
 def _sketched(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for block in text_blocks(texts):
                 values, counts = shingle_sets([texts[i] for i in block], words)
-                ends = np.cumsum(counts)
-                marks = []
-                for salt in (1, 2):  # two sums over the set: its fingerprint
-                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values * np.uint64(2 * salt + 1) + np.uint64(salt)))])
-                    marks.append((sums[ends] - sums[ends - counts]).view(np.int64))
+                marks = fingerprints(values, counts)
                 sketch = sketches(values, counts)
                 keys = band_keys(sketch).view(np.int64)
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(len(block) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel()))
@@ -147,68 +156,119 @@ def _sketched(words: int):
     return run
 
 
-def _full_sets(words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for block in text_blocks(texts):
-                values, counts = shingle_sets([texts[i] for i in block], words)
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(block)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))], names=["id", "members"])
-
-    return run
+def _rows_of(column: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(rows, -1)
 
 
 def _alike(percent: int):
-    """Pairs (a, b, na, nb, sa, sb) whose sketches are alike."""
+    """Pairs (a, b, na, nb, sa, sb) whose sizes and sketches are alike."""
     least = least_equal(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sa", "sb"))
-                yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b", "na", "nb")], names=["a", "b", "na", "nb"]).filter(pa.array((left == right).sum(1) >= least))
+                na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+                left, right = (_rows_of(batch.column(c), batch.num_rows) for c in ("sa", "sb"))
+                yield batch.select(["a", "b"]).filter(pa.array((np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent) & ((left == right).sum(1) >= least)))
 
     return run
 
 
-def _block_pairs(percent: int):
-    """Pairs of different components in one block (or between two blocks) of a bucket whose sketches are alike."""
+def forest(left: np.ndarray, right: np.ndarray, component: np.ndarray, linked: Callable[[int, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Links that join the components (which are renamed), one for each two that meet.
+
+    Rows `left` meet rows `right`, which are the same or others; linked(i, rows) are those of the rows linked with i.
+    """
+    same, found = np.array_equal(left, right), [np.zeros((0, 2), np.int64)]
+    for i in left:
+        others = right[component[right] != component[i]]
+        if same:
+            others = others[others > i]
+        if len(others):
+            others = linked(i, others)
+        if len(others):
+            names, first = np.unique(component[others], return_index=True)
+            found.append(np.stack([np.full(len(first), i), others[first]], 1))
+            component[np.isin(component, names)] = component[i]
+    return np.concatenate(found)
+
+
+def _alike_rows(n: np.ndarray, sketch: np.ndarray, percent: int) -> Callable[[int, np.ndarray], np.ndarray]:
     least = least_equal(percent)
 
+    def rows(i: int, others: np.ndarray) -> np.ndarray:
+        others = others[np.minimum(n[others], n[i]) * 100 >= np.maximum(n[others], n[i]) * percent]
+        return others[(sketch[others] == sketch[i]).sum(1) >= least]
+
+    return rows
+
+
+def _block_pairs(percent: int):
+    """A forest of the families in one block (or between two blocks) of a bucket, by sketches."""
+
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         ids, n, component, block = (table.column(c).to_numpy() for c in ("id", "n", "component", "block"))
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
-        one, two = table.column("one")[0].as_py(), table.column("two")[0].as_py()
-        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
-        found = [np.zeros((0, 2), np.int64)]
-        for i in left:
-            others = right[(component[right] != component[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)]
-            if one == two:
-                others = others[others > i]
-            if len(others):
-                others = others[(sketch[others] == sketch[i]).sum(1) >= least]
-                found.append(np.stack([np.full(len(others), i), others], 1))
-        pairs = np.concatenate(found)
-        return pa.table({"a": ids[pairs[:, 0]], "b": ids[pairs[:, 1]], "na": n[pairs[:, 0]], "nb": n[pairs[:, 1]]})
+        sketch = _rows_of(table.column("sketch"), len(ids))
+        left, right = (np.flatnonzero(block == table.column(c)[0].as_py()) for c in ("one", "two"))
+        pairs = forest(left, right, component.copy(), _alike_rows(n, sketch, percent))
+        return pa.table({"a": ids[pairs[:, 0]], "b": ids[pairs[:, 1]]})
 
     return run
 
 
-def _only(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of `source` whose id is in `wanted`; a filter of fixed size goes before the shuffle of texts."""
+def _links(words: int, percent: int):
+    """A forest of the links in one block (or between two blocks) of a family, by full sets."""
+
+    def run(table: pa.Table) -> pa.Table:
+        texts, sets, sizes, marks = table.column("text").to_pylist(), [], [], []
+        for at in text_blocks(texts):
+            values, counts = shingle_sets([texts[i] for i in at], words)
+            sets.append(values)
+            sizes.append(counts)
+            marks.append(np.stack([counts, *fingerprints(values, counts)]))
+        table = table.drop_columns(["text"]).combine_chunks()
+        n, marks, ids = np.concatenate(sizes), np.concatenate(marks, 1), table.column("id").to_numpy()
+        # of rows that repeat an id one with the chosen set counts
+        rows = np.flatnonzero((marks == np.stack([table.column(c).to_numpy() for c in ("n", "mark", "mark2")])).all(0))
+        rows = rows[np.unique(ids[rows], return_index=True)[1]]
+        known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        begins = np.cumsum(n) - n
+        block, sketch = table.column("block").to_numpy(), _rows_of(table.column("sketch"), len(ids))
+        alike, own = _alike_rows(n, sketch, percent), np.zeros(len(known), np.uint8)
+
+        def linked(i: int, others: np.ndarray) -> np.ndarray:
+            others = alike(i, others)
+            if not len(others):
+                return others
+            mine, many = flat[begins[i] : begins[i] + n[i]], n[others]
+            stops = np.cumsum(many)
+            own[mine] = 1
+            common = np.add.reduceat(own[flat[np.repeat(begins[others] - stops + many, many) + np.arange(stops[-1])]], stops - many, dtype=np.int64)
+            own[mine] = 0
+            return others[100 * common >= percent * (n[i] + many - common)]
+
+        left, right = (rows[block[rows] == table.column(c)[0].as_py()] for c in ("one", "two"))
+        pairs = forest(left, right, np.arange(len(ids)), linked)
+        return pa.table({"a": ids[pairs[:, 0]], "b": ids[pairs[:, 1]]})
+
+    return run
+
+
+def _perhaps(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of `source` whose id may be in `wanted`: a filter of fixed size that goes before a shuffle of texts."""
     slot = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(FILTER_BITS))
     words = wanted.select((slot / 64).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(5, id), {FILTER_BITS}), 64) as int))").alias("bit")).groupBy("word").agg(F.expr("bit_or(bit)").alias("bit")).toArrow()
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     bits[words.column("word").to_numpy()] = words.column("bit").to_numpy()
-    shared = source.sparkSession.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool))
+    shared = source.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
 
     def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.select(["id", "text"]).filter(pa.array(shared.value[batch.column("slot").to_numpy(zero_copy_only=False)]))
+            at = batch.column("slot").to_numpy(zero_copy_only=False)
+            yield batch.select(["id", "text"]).filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
 
-    return source.withColumn("slot", slot).mapInArrow(may, "id long, text string").join(wanted, "id", "left_semi")
+    return source.withColumn("slot", slot).mapInArrow(may, "id long, text string")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -228,57 +288,46 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     sketched = stored(made, "sketches")
     ids = sketched.groupBy("id").agg(F.max(F.struct("n", "mark", "mark2")).alias("s")).select("id", "s.*")
     classes = stored(ids.where("n > 0").groupBy("n", "mark", "mark2").agg(F.min("id").alias("rep")), "classes")
-    one_each = sketched.join(classes.select(F.col("rep").alias("id"), "n", "mark", "mark2"), ["id", "n", "mark", "mark2"], "left_semi").dropDuplicates(["id"])
-    shown = stored(one_each.select("id", "n", "bands", "sketch"), "shown")
-    banded = shown.select("id", "n", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-    buckets = stored(banded.join(shared, "key", "left_semi"), "buckets")
-    short = shown.select("id", "sketch")
-
-    def of_length(pairs: DataFrame) -> DataFrame:
-        return pairs.where((F.col("a") != F.col("b")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)).select("a", "b", "na", "nb").distinct()
+    one_each = sketched.join(classes.withColumnRenamed("rep", "id"), ["id", "n", "mark", "mark2"], "left_semi").dropDuplicates(["id", "n", "mark", "mark2"])
+    shown = stored(one_each, "shown")
+    short = shown.select("id", "n", "sketch")
+    banded = shown.select("id", F.explode("bands").alias("key"))
+    leaders = banded.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last").select("key", "leader")
+    buckets = stored(banded.join(leaders, "key"), "buckets")
 
     def alike(pairs: DataFrame) -> DataFrame:
-        both = of_length(pairs).join(short.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a").join(short.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
-        return both.mapInArrow(_alike(percent), "a long, b long, na long, nb long")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        near = stored(pairs, "pairs")
-        wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-        sets = _only(source, wanted).mapInArrow(_full_sets(words), "id long, members array<long>")
-        sets = stored(sets.groupBy("id").agg(F.max_by("members", F.size("members")).alias("members")) if repeats else sets, "sets")
-        both = near.join(sets.select(F.col("id").alias("a"), F.col("members").alias("ma")), "a").join(sets.select(F.col("id").alias("b"), F.col("members").alias("mb")), "b")
-        common = both.select("a", "b", "na", "nb", F.size(F.array_intersect("ma", "mb")).cast("long").alias("common"))
-        return stored(common.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b"), "links")
-
-    def with_leaders(rows: DataFrame, order: Column) -> DataFrame:
-        leaders = rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "id", "n")).alias("l")).select("key", F.col("l.id").alias("b"), F.col("l.n").alias("nb"))
-        return rows.select("key", F.col("id").alias("a"), F.col("n").alias("na")).join(leaders, "key")
+        one, two = (short.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab")
+        return pairs.where("a <> b").distinct().join(one, "a").join(two, "b").mapInArrow(_alike(percent), "a long, b long")
 
     def unsettled(rows: DataFrame) -> DataFrame:
-        named = rows.join(components.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+        named = rows.join(components.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
         several = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high")
         return stored(named.join(several.select("key", "size"), "key"), "unsettled")
 
-    repeats = not sketched.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
-    components = stored(connected_components(verified(alike(with_leaders(buckets, F.col("id"))))), "components")
+    def meetings(rows: DataFrame, key: str, blocks: Column) -> DataFrame:
+        dealt = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(9), "id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        both = dealt.withColumns({"one": F.least("block", "other").cast("int"), "two": F.greatest("block", "other").cast("int")})
+        return both.drop("other").groupBy(key, "one", "two")
+
+    components = stored(connected_components(alike(buckets.select(F.col("id").alias("a"), F.col("leader").alias("b")))), "components")
     left = unsettled(buckets)
     for final in (False, True):
         if left.isEmpty():
             break
         if final:
-            blocks = blocks_for(F.col("size"), BLOCK)
-            dealt = left.withColumn("block", F.pmod(F.xxhash64(F.lit(9), "id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            dealt = dealt.select("key", "id", "n", "component", "block", F.least("block", "other").cast("int").alias("one"), F.greatest("block", "other").cast("int").alias("two")).join(short, "id")
-            near = of_length(dealt.groupBy("key", "one", "two").applyInArrow(_block_pairs(percent), "a long, b long, na long, nb long"))
+            near = meetings(left.join(short, "id"), "key", blocks_for(F.col("size"), BLOCK)).applyInArrow(_block_pairs(percent), "a long, b long")
         else:
-            near = alike(with_leaders(left, F.xxhash64(F.lit(7), "id")))
-        found = verified(near)
-        if not found.isEmpty():
-            components = stored(connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)), "components")
-            left = left if final else unsettled(left.select("key", "id", "n"))
-    grouped = classes.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left").select("n", "mark", "mark2", F.coalesce("component", "rep").alias("component"))
+            others = left.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(7), "id").alias("o"), "id")).alias("l")).select("key", F.col("l.id").alias("b"))
+            near = alike(left.select("key", F.col("id").alias("a")).join(others, "key").select("a", "b"))
+        components = stored(connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).union(near)), "components")
+        left = left if final else unsettled(left.select("key", "id"))
+    members = shown.drop("bands").join(components.select(F.col("node").alias("id"), F.col("component").alias("family")), "id")
+    sizes = members.groupBy("family").agg(F.greatest(blocks_for(F.count("*"), FAMILY), blocks_for(F.sum("n"), SHINGLES)).alias("blocks"))
+    members = stored(members.join(sizes, "family"), "members")
+    read = _perhaps(source, members.select("id")).join(members, "id")
+    links = meetings(read, "family", F.col("blocks")).applyInArrow(_links(words, percent), "a long, b long")
+    found = connected_components(links)
+    grouped = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("n", "mark", "mark2", F.coalesce("component", "rep").alias("component"))
     joined = ids.join(grouped, ["n", "mark", "mark2"], "left")
     result = joined.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     return result.withColumn("kept", F.col("doc_id") == F.col("component_id"))
-

@@ -45,6 +45,9 @@ _ODD = re.compile("[\x1c-\x1f]")
 _LETTERS, _DIGITS = "a-zA-ZªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_DIGITS}]+| ?[^\s{_LETTERS}{_DIGITS}]+")
 _PLAIN = re.compile(" ?[!-~¡-¬®-ÿ]+")
+#: Texts of such characters are cut into pieces and white space at once.
+_EASY = re.compile("[\t\n\r -~¡-¬®-ÿ]*")
+_CUT = re.compile(rf"{_PIECES.pattern}|\s+(?!\S)|\s+")
 #: Units kept per process; new pieces encoded as one text; longer units aren't kept.
 MEMO, TOGETHER, LONG = 700_000, 500, 64
 _BETWEEN = "\0"
@@ -54,7 +57,8 @@ class Encoder:
     """A byte-level BPE tokenizer whose results are remembered by unit: a word with the space before it, or white space.
 
     The tokenizer never merges across units. New units are cut into pieces by the tokenizer's own pattern,
-    new pieces encoded many at once, and cut apart by the bytes that their ids stand for.
+    new pieces encoded many at once, and cut apart by the bytes that their ids stand for. In texts of ASCII
+    and Latin-1 the units are the pieces themselves, so that a word is learned once, whatever mark follows it.
     """
 
     def __init__(self, path: str, special_as_text: bool = False):
@@ -77,14 +81,8 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, units: list[str]) -> None:
-        """Ids of new units and their pieces into the memory."""
-        memo = self.memo
-        easy = [u for u in units if _PLAIN.fullmatch(u)]
-        hard = [u for u in units if not _PLAIN.fullmatch(u)] if len(easy) < len(units) else []
-        # letters alone are one piece
-        cut = [(u,) if u.isalpha() or u[0] == " " and u[1:].isalpha() else _PIECES.findall(u) for u in easy]
-        fresh = list(set().union(*cut).difference(memo))
+    def _learn_pieces(self, fresh: list[str]) -> None:
+        """Ids of new pieces, none of white space, into the memory."""
         for at in range(0, len(fresh), TOGETHER):
             part = fresh[at : at + TOGETHER]
             ids = np.array(self.pieces.encode_batch_fast([_BETWEEN.join(part)], add_special_tokens=False)[0].ids, "<u4")
@@ -93,7 +91,16 @@ class Encoder:
             if (bytes_to[stops - 1] != ends).any():
                 raise ValueError("the tokenizer's ids don't cover these texts")
             raw, stops = ids.tobytes(), (4 * stops).tolist()
-            memo.update((piece, raw[a:b]) for piece, a, b in zip(part, [0, *stops], stops))
+            self.memo.update((piece, raw[a:b]) for piece, a, b in zip(part, [0, *stops], stops))
+
+    def _learn(self, units: list[str]) -> None:
+        """Ids of new units and their pieces into the memory."""
+        memo = self.memo
+        easy = [u for u in units if _PLAIN.fullmatch(u)]
+        hard = [u for u in units if not _PLAIN.fullmatch(u)] if len(easy) < len(units) else []
+        # letters alone are one piece
+        cut = [(u,) if u.isalpha() or u[0] == " " and u[1:].isalpha() else _PIECES.findall(u) for u in easy]
+        self._learn_pieces(list(set().union(*cut).difference(memo)))
         memo.update((unit, b"".join([memo[p] for p in pieces])) for unit, pieces in zip(easy, cut) if len(pieces) > 1)
         memo.update(zip(hard, self._whole(hard)))
 
@@ -102,13 +109,17 @@ class Encoder:
         if len(self.memo) > MEMO:
             self.memo.clear()
         whole = {i: t for i, t in enumerate(texts) if t and (_ODD.search(t) or (self.special and self.special.search(t)))}
-        units = [[] if not t or i in whole else _UNIT.findall(t) for i, t in enumerate(texts)]
-        new = set().union(*units).difference(self.memo)
-        self._learn(list(new))
+        easy = [bool(t) and _EASY.fullmatch(t) is not None for t in texts]
+        units = [[] if not t or i in whole else (_CUT if easy[i] else _UNIT).findall(t) for i, t in enumerate(texts)]
+        pieces = set().union(*(u for u, e in zip(units, easy) if e)).difference(self.memo)
+        blank = {p for p in pieces if p.isspace()}
+        self._learn_pieces(list(pieces - blank))
+        others = blank.union(*(u for u, e in zip(units, easy) if not e)).difference(self.memo)
+        self._learn(list(others))
         out = [b"".join(map(self.memo.__getitem__, some)) for some in units]
         for (i, _), ids in zip(whole.items(), self._whole(list(whole.values()))):
             out[i] = ids
-        for unit in new:
+        for unit in pieces | others:
             if len(unit) > LONG:
                 del self.memo[unit]
         return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import tempfile
@@ -104,6 +105,14 @@ def beside(frame: DataFrame, text: str, fields: str, work: Callable[[Iterator[li
     return packed.mapInArrow(run, schema)
 
 
+def _trim() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        return
+
+
 _kept: dict[str, Callable[[], None]] = {}
 
 
@@ -118,6 +127,7 @@ def takes_over(owner: str, forget: Callable[[], None]) -> None:
         _kept.clear()
         _kept[owner] = forget
         pa.default_memory_pool().release_unused()
+        _trim()
 
 
 def text_blocks(texts: list[str | None], most: int = 1 << 20) -> Iterator[list[int]]:

@@ -39,6 +39,8 @@ ROWS = 5
 BLOCK = 512
 #: Members of a family, and shingles on average, whose full sets one task compares with as many others.
 FAMILY, SHINGLES = 2048, 1 << 20
+#: Characters whose shingles are made at once; a longer text stands alone.
+CHARACTERS = 1 << 18
 #: Bits of the filter that keeps texts which need no full set out of the shuffle.
 FILTER_BITS = 1 << 23
 
@@ -53,7 +55,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     takes_over("minhash", _powers.clear)
     if "up" not in _powers or len(_powers["up"]) < n:
-        size = max(1 << 21, n)
+        size = max(2 * CHARACTERS, n)
         ones = np.full(size, _BASE), np.full(size, _UNBASE)
         for a in ones:
             a[0] = 1
@@ -142,7 +144,7 @@ def _sketched(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for block in text_blocks(texts):
+            for block in text_blocks(texts, CHARACTERS):
                 values, counts = shingle_sets([texts[i] for i in block], words)
                 marks = fingerprints(values, counts)
                 sketch = sketches(values, counts)
@@ -222,7 +224,7 @@ def _links(words: int, percent: int):
 
     def run(table: pa.Table) -> pa.Table:
         texts, sets, sizes, marks = table.column("text").to_pylist(), [], [], []
-        for at in text_blocks(texts):
+        for at in text_blocks(texts, CHARACTERS):
             values, counts = shingle_sets([texts[i] for i in at], words)
             sets.append(values)
             sizes.append(counts)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import beside, prepare_llm, stored
+from harborline.llm.common import beside, prepare_llm, stored, takes_over
 
 FEATURES = 12
 _CLASS = np.zeros(256, np.uint8)
@@ -63,6 +63,11 @@ class Domains:
         return p / p.sum(1, keepdims=True)
 
 
+def _styles(texts: list[str | None]) -> list[tuple[int, list[float]]]:
+    takes_over("mixing", lambda: None)  # keeps nothing itself
+    return [style(t) for t in texts]
+
+
 def fit_domains(docs: DataFrame, labels: DataFrame, column: str = "quality", rows: int = 20_000) -> Domains:
     """Learn the domains from docs (doc_id, text) and labels (doc_id, a column of labels).
 
@@ -80,7 +85,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, column: str = "quality", row
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([style(t)[1] for t in batch.column(0).to_pylist()], pa.list_(pa.float64()))], names=["domain", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([x for _, x in _styles(batch.column(0).to_pylist())], pa.list_(pa.float64()))], names=["domain", "x"])
 
     got = chosen.mapInArrow(features, "domain string, x array<double>").orderBy("domain", "x").toArrow()
     if not got.num_rows:
@@ -108,7 +113,7 @@ def memberships(docs: DataFrame, model: Domains, keep: list[str] | None = None)
 
     def work(batches):
         for texts in batches:
-            made = [style(t) for t in texts]
+            made = _styles(texts)
             p = shared.value.posteriors(np.array([m[1] for m in made]))
             yield {"tokens": [m[0] for m in made], "posteriors": p.tolist()}
 
@@ -183,7 +188,7 @@ def mix_to_targets(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     def work(batches):
         model, steps = shared.value
         for texts in batches:
-            made = [style(t) for t in texts]
+            made = _styles(texts)
             p = model.posteriors(np.array([m[1] for m in made]))
             yield {"tokens": [m[0] for m in made], "posteriors": p.tolist(), "rate": rate_of(p, steps).tolist()}
 

@@ -36,7 +36,7 @@ COORDINATES = 160
 #: A pair at a similarity of 0.8 misses all 32 bands with probability (1 - 0.8**5)**32, 3e-6; at 0.85 with 8e-9.
 ROWS = 5
 #: Members of a bucket that one task compares with as many others.
-BLOCK = 512
+BLOCK = 2048
 #: Members of a family, and shingles on average, whose full sets one task compares with as many others.
 FAMILY, SHINGLES = 2048, 1 << 20
 #: Characters whose shingles are made at once; a longer text stands alone.
